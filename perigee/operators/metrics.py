@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perigee.operators.distributed import running_totals
+from perigee.session import cut_lineage
 
 METRIC_FIELDS = (
     "recall", "precision", "f1", "pr_auc", "roc_auc", "accuracy", "naive_baseline_accuracy", "true_positives",
@@ -56,7 +57,7 @@ def curve_points(df: DataFrame, label: str, score: str) -> DataFrame:
     return run.select(
         "threshold", tp.cast("bigint").alias("tp"), fp.cast("bigint").alias("fp"),
         _ratio(fp, n).alias("fpr"), _ratio(tp, p).alias("tpr"),
-        _ratio(tp, p).alias("recall"), precision.alias("precision"),
+        _ratio(tp, p).alias("recall"), precision.alias("precision"), _ratio(F.col("pos"), p).alias("recall_gain"),
         (_ratio(F.col("pos"), p) * (precision + precision0) / 2).alias("pr_area"),
         (_ratio(F.col("neg"), n) * (_ratio(tp, p) + _ratio(tp0, p)) / 2).alias("roc_area"),
     )
@@ -142,13 +143,11 @@ def normalized_mutual_info(ct: DataFrame) -> DataFrame:
 
 def cluster_quality(df: DataFrame, truth: str, label: str, method: str, noise: int = -1) -> DataFrame:
     """One result row: method, clusters found without noise, ARI, NMI and noise share. Noise is a cluster in ARI/NMI."""
-    ct = contingency(df, truth, label)
-    summary = df.agg(F.struct(
-        F.count_distinct(F.when(F.col(label) != noise, F.col(label))).cast("int").alias("found"),
-        F.avg(F.when(F.col(label) == noise, 1.0).otherwise(0.0)).alias("noise"),
-    ))
-    return df.sparkSession.range(1).select(
-        F.lit(method).alias("method"), summary.scalar().getField("found").alias("n_clusters_found"),
-        adjusted_rand(ct).scalar().alias("ari"), normalized_mutual_info(ct).scalar().alias("nmi"),
-        summary.scalar().getField("noise").alias("noise_fraction"),
+    ct = cut_lineage(contingency(df, truth, label))
+    ari, nmi = adjusted_rand(ct).first()[0], normalized_mutual_info(ct).first()[0]  # two numbers
+    return ct.agg(
+        F.count_distinct(F.when(F.col("b") != noise, F.col("b"))).cast("int").alias("n_clusters_found"),
+        (F.sum(F.when(F.col("b") == noise, F.col("n")).otherwise(0)) / F.sum("n")).alias("noise_fraction"),
+    ).select(
+        F.lit(method).alias("method"), "n_clusters_found", F.lit(ari).alias("ari"), F.lit(nmi).alias("nmi"), "noise_fraction"
     )

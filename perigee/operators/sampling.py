@@ -111,7 +111,7 @@ def smote(
 ) -> DataFrame:
     """Training rows plus synthetic minority rows, both classes equal in size. Never call on validation or test.
 
-    Returns target (int), features (double) and ``synthetic``.
+    Returns ``row_key`` (text), target (int), features (double) and ``synthetic``.
     """
     counts = {r[0]: r[1] for r in train.groupBy(F.col(spec.target).cast("int").alias("t")).count().collect()}
     if set(counts) != {0, 1}:
@@ -119,12 +119,13 @@ def smote(
     minority = min(counts, key=lambda c: (counts[c], -c))
     n_new = max(counts.values()) - counts[minority]
     features = [F.col(c).cast("double").alias(c) for c in spec.features]
-    originals = train.select(F.col(spec.target).cast("int").alias(spec.target), *features, F.lit(False).alias("synthetic"))
+    key = F.col(spec.id).cast("string")
+    originals = train.select(key.alias("row_key"), F.col(spec.target).cast("int").alias(spec.target), *features, F.lit(False).alias("synthetic"))
     if n_new == 0:
         return originals
     rows = smote_rows(train.filter(F.col(spec.target).cast("int") == minority), spec, n_new, k, seed, nominal)
     return originals.unionByName(
-        rows.select(F.lit(minority).alias(spec.target), *spec.features, F.lit(True).alias("synthetic"))
+        rows.select(F.concat_ws(":", "base_id", "copy").alias("row_key"), F.lit(minority).alias(spec.target), *spec.features, F.lit(True).alias("synthetic"))
     )
 
 

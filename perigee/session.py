@@ -48,11 +48,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the data survives lost executors and the plan starts afresh."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    """Stores the frame as a table in the shared folder and reads it back, so the plan starts afresh.
+
+    The data survives lost executors. Unlike an RDD checkpoint the stored table has a known size, so later joins with
+    a small one are planned as broadcasts and larger ones as shuffles.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
