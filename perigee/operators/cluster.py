@@ -106,7 +106,7 @@ def density_clusters(
         parts.append(frontier)
     owner = cut_lineage(reduce(DataFrame.unionByName, parts))
     owned = tree.join(owner, ["level", "c"])
-    # A cluster earns nothing above its birth: the first step of a split-off cluster belongs to its parent.
+    # Rows at a cut times the density gained since the looser one, over the cuts at which the cluster lives.
     stability = owned.groupBy("bl", "bc").agg(F.sum(F.col("n") * F.col("step")).alias("own"))
     parent_of = owned.filter(F.col("birth") & F.col("pc").isNotNull()).select(
         F.col("level").alias("bl"), F.col("c").alias("bc"), (F.col("level") - 1).alias("level"), F.col("pc").alias("c")
@@ -122,6 +122,8 @@ def density_clusters(
 def _most_stable(clusters: DataFrame) -> DataFrame:
     """Antichain of clusters ``(bl, bc)`` with the largest total stability; a root is chosen only when it never splits."""
     levels = sorted((r["bl"] for r in clusters.select("bl").distinct().collect()), reverse=True)  # one per cut
+    if not levels:
+        return clusters.select("bl", "bc")
     done, gained = [], None
     for level in levels:
         here = clusters.filter(F.col("bl") == level)

@@ -46,9 +46,10 @@ def curve_points(df: DataFrame, label: str, score: str) -> DataFrame:
     before is the running sum minus the row's own counts, so no lag over the global order is needed.
     """
     y = F.col(label).cast("int")
-    per_score = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
+    # Stored once: the ranges, their totals and the running sums each read it.
+    per_score = cut_lineage(df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.count(F.when(y == 1, 1)).alias("pos"), F.count(F.when(y == 0, 1)).alias("neg")
-    )
+    ))
     run = running_totals(per_score, "threshold", ["pos", "neg"])
     tp, fp, p, n = F.col("cum_pos"), F.col("cum_neg"), F.col("total_pos"), F.col("total_neg")
     tp0, fp0 = tp - F.col("pos"), fp - F.col("neg")
