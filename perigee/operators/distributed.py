@@ -13,7 +13,10 @@ from perigee.session import small_table
 # Rows one window task should sort at most when buckets are filled evenly.
 BUCKET_ROWS = 200_000
 # Up to this many values an exact percentile may keep its value counts in one aggregation buffer.
-PERCENTILE_ROWS = 2_000_000
+PERCENTILE_ROWS = 200_000
+# Values between two approximate percentiles that may be sorted in one buffer.
+BRACKET_ROWS = 20_000
+APPROX_ACCURACY = 10_000
 
 
 def hash_key(id_col: str | Column, salt: str) -> Column:
@@ -162,13 +165,14 @@ def running_totals(
 
 
 def exact_percentiles(
-    df: DataFrame, cols: Sequence[str], qs: Sequence[float], small: int = PERCENTILE_ROWS
+    df: DataFrame, cols: Sequence[str], qs: Sequence[float], small: int = PERCENTILE_ROWS, inside: int = BRACKET_ROWS
 ) -> dict[str, list[float | None]]:
     """Linear-interpolated percentiles of several columns, exact at any size.
 
-    Few values go through the built-in aggregate. Beyond ``small`` values its buffer would have to hold every
-    distinct value in one task, so each wanted rank is bracketed instead: an approximate percentile on either side of
-    it, then a count of what lies below the bracket, repeated inside the bracket until few enough rows are left.
+    Few values go through the built-in aggregate. Beyond ``small`` values its buffer would have to hold every distinct
+    value in one task. Then each wanted rank is bracketed by two approximate percentiles, one pass counts what lies
+    below, on and between the brackets, and only values strictly between them are looked at, when the rank falls there.
+    All columns and percentiles share these passes. A bracket that holds more than ``inside`` values is refined alone.
     """
     counts = df.agg(*[F.count(c).alias(c) for c in cols]).first().asDict()
     out: dict[str, list[float | None]] = {c: [None] * len(qs) for c in cols}
@@ -176,24 +180,67 @@ def exact_percentiles(
     if direct:
         row = df.agg(*[F.percentile(F.col(c).cast("double"), F.array(*map(F.lit, qs))).alias(c) for c in direct]).first()
         out.update({c: list(row[c]) for c in direct})
-    for c in cols:
-        if counts[c] <= small:
+    large = [c for c in cols if counts[c] > small]
+    if not large:
+        return out
+    ranks = {(c, j): (math.floor(q * (counts[c] - 1)), math.ceil(q * (counts[c] - 1))) for c in large for j, q in enumerate(qs)}
+    x = {c: F.col(c).cast("double") for c in large}
+    probes = {
+        c: [p for j in range(len(qs)) for p in _around(*ranks[c, j], counts[c])] for c in large
+    }
+    found = df.agg(*[F.percentile_approx(x[c], probes[c], APPROX_ACCURACY).alias(c) for c in large]).first()
+    bracket = {(c, j): (found[c][2 * j], found[c][2 * j + 1]) for c, j in ranks}
+
+    def count(condition: Column) -> Column:
+        return F.count(F.when(condition, 1))
+
+    tally = df.agg(*[
+        F.struct(
+            count(x[c] < lo).alias("below"), count(x[c] == lo).alias("low"),
+            count((x[c] > lo) & (x[c] < hi)).alias("mid"), count(x[c] == hi).alias("high"),
+        ).alias(f"{c}~{j}")
+        for (c, j), (lo, hi) in bracket.items()
+    ]).first()
+    value: dict[tuple, dict[int, float]] = {}
+    listed, alone = {}, []
+    for (c, j), (lo, hi) in bracket.items():
+        t = tally[f"{c}~{j}"]
+        start = t["below"] + t["low"]  # first rank strictly inside
+        stop = start + t["mid"]
+        if ranks[c, j][0] < t["below"] or ranks[c, j][1] >= stop + (t["high"] if hi > lo else 0):
+            alone.append((c, j))
             continue
-        values = df.select(F.col(c).cast("double").alias("x")).filter(F.col("x").isNotNull())
-        for j, q in enumerate(qs):
-            position = q * (counts[c] - 1)
-            lower = math.floor(position)
-            found = _order_statistics(values, counts[c], [lower, math.ceil(position)], small)
-            out[c][j] = found[0] + (found[1] - found[0]) * (position - lower)
+        value[c, j] = {r: lo if r < start else hi for r in ranks[c, j] if not start <= r < stop}
+        open_ranks = [r for r in ranks[c, j] if start <= r < stop]
+        if open_ranks and t["mid"] > inside:
+            alone.append((c, j))
+        elif open_ranks:
+            listed[c, j] = (start, open_ranks)
+    if listed:
+        row = df.agg(*[
+            F.array_sort(F.collect_list(F.when((x[c] > bracket[c, j][0]) & (x[c] < bracket[c, j][1]), x[c]))).alias(f"{c}~{j}")
+            for c, j in listed
+        ]).first()  # at most `inside` values each
+        for (c, j), (start, open_ranks) in listed.items():
+            value[c, j].update({r: row[f"{c}~{j}"][r - start] for r in open_ranks})
+    for c, j in alone:
+        values = df.select(x[c].alias("x")).filter(F.col("x").isNotNull())
+        value[c, j] = dict(zip(ranks[c, j], _order_statistics(values, counts[c], list(ranks[c, j]), inside)))
+    for (c, j), (lower, upper) in ranks.items():
+        v = value[c, j]
+        out[c][j] = v[lower] + (v[upper] - v[lower]) * (qs[j] * (counts[c] - 1) - lower)
     return out
 
 
+def _around(lower: int, upper: int, n: int) -> list[float]:
+    """Probabilities on either side of two ranks, wider than the error of an approximate percentile."""
+    return [max(0.0, lower / n - 2 / APPROX_ACCURACY), min(1.0, (upper + 1) / n + 2 / APPROX_ACCURACY)]
+
+
 def _order_statistics(values: DataFrame, n: int, ranks: list[int], small: int) -> list[float]:
     """Values at two neighbouring zero-based ranks of column ``x``."""
     while n > small:
-        accuracy = 10_000
-        around = [max(0.0, ranks[0] / n - 2 / accuracy), min(1.0, (ranks[1] + 1) / n + 2 / accuracy)]
-        lo, hi = values.agg(F.percentile_approx("x", around, accuracy).alias("b")).first()["b"]
+        lo, hi = values.agg(F.percentile_approx("x", _around(*ranks, n), APPROX_ACCURACY).alias("b")).first()["b"]
         tally = values.agg(
             F.count(F.when(F.col("x") < lo, 1)).alias("below"),
             F.count(F.when((F.col("x") >= lo) & (F.col("x") <= hi), 1)).alias("inside"),

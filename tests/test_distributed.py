@@ -14,11 +14,12 @@ def skewed(spark):
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)], "id bigint, x double"), x
 
 
-@pytest.mark.parametrize("small", [0, 50, 10_000])
-def test_exact_percentiles_match_interpolation(skewed, small):
+@pytest.mark.parametrize("small,inside,accuracy", [(10_000, 1, 10_000), (0, 10_000, 10_000), (0, 10_000, 20), (0, 3, 20)])
+def test_exact_percentiles_match_interpolation(skewed, monkeypatch, small, inside, accuracy):
+    monkeypatch.setattr(d, "APPROX_ACCURACY", accuracy)
     df, x = skewed
     qs = [0.0, 0.01, 0.25, 0.5, 0.77, 0.99, 1.0]
-    got = d.exact_percentiles(df, ["x"], qs, small=small)["x"]
+    got = d.exact_percentiles(df, ["x"], qs, small=small, inside=inside)["x"]
     assert got == pytest.approx(list(np.quantile(x, qs)), abs=1e-12)
 
 
