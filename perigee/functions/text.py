@@ -57,6 +57,14 @@ def rule_met(moid: Column, h: Column) -> Column:
     return (moid <= F.lit(MOID_LIMIT)) & (h <= F.lit(H_LIMIT))
 
 
+# Wording and number formats of the explanation.
+EXPLANATION = (
+    "Model prediction: %s (probability=%.3f). NASA's PHA definition requires MOID <= 0.05 AU AND H <= 22.0. "
+    "This object has MOID = %.4f AU (%s 0.05 AU, condition %s) and H = %.2f (%s 22.0, condition %s). "
+    "The model's prediction is %s NASA's two-condition rule applied directly to this object's MOID and H."
+)
+
+
 def explain_column(moid: Column, h: Column, is_pha: Column, probability: Column) -> Column:
     """Explanation built only from the values and the two-condition rule; null when an input is null.
 
@@ -70,9 +78,7 @@ def explain_column(moid: Column, h: Column, is_pha: Column, probability: Column)
 
     moid_ok, h_ok = moid <= F.lit(MOID_LIMIT), h <= F.lit(H_LIMIT)
     text = F.format_string(
-        "Model prediction: %s (probability=%.3f). NASA's PHA definition requires MOID <= 0.05 AU AND H <= 22.0. "
-        "This object has MOID = %.4f AU (%s 0.05 AU, condition %s) and H = %.2f (%s 22.0, condition %s). "
-        "The model's prediction is %s NASA's two-condition rule applied directly to this object's MOID and H.",
+        EXPLANATION,
         F.when(is_pha, F.lit("potentially hazardous")).otherwise(F.lit("not potentially hazardous")),
         F.round(probability, 3), F.round(moid, 4), sign(moid_ok), met(moid_ok), F.round(h, 2), sign(h_ok), met(h_ok),
         F.when((moid_ok & h_ok) == is_pha, F.lit("consistent with")).otherwise(F.lit("in tension with")),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from perigee.operators.distributed import running_totals
 from perigee.session import cut_lineage
 
+# Metric names.
 METRIC_FIELDS = (
     "recall", "precision", "f1", "pr_auc", "roc_auc", "accuracy", "naive_baseline_accuracy", "true_positives",
     "false_negatives", "false_positives", "true_negatives",

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from perigee.operators.distributed import hash_key
-from perigee.session import cut_lineage
+from perigee.session import cut_lineage, small_table
 
 CELL_ROWS = 1024
 BLOCK_ROWS = 2048
@@ -70,7 +70,8 @@ def _meet(visits: DataFrame, residents: DataFrame, sizes: DataFrame, k: int) ->
     block and chunk is one bounded task.
     """
     visiting = visits.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(BLOCK_ROWS)).cast("int").alias("chunks"))
-    plan = sizes.select("cell", F.ceil(F.col("n") / F.lit(BLOCK_ROWS)).cast("int").alias("blocks")).join(visiting, "cell")
+    blocks = sizes.select("cell", F.ceil(F.col("n") / F.lit(BLOCK_ROWS)).cast("int").alias("blocks"))
+    plan = small_table(blocks.join(visiting, "cell"))  # one row per pivot, so a crowded cell is no hot join key
     left = visits.join(plan, "cell").select(
         "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
         F.pmod(F.xxhash64("gid"), F.col("chunks")).cast("int").alias("chunk"), "gid", "vec",

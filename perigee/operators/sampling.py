@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from perigee.operators.distributed import hash_key, hash_rank, hash_segments
 from perigee.operators.neighbours import knn_join
+from perigee.session import broadcast_if_small
 from perigee.spec import FeatureSpec
 
 
@@ -83,7 +84,7 @@ def smote_rows(
     edges = knn_join(vectors, spec.id, "vec", k)
     other = minority.select(F.col(spec.id).alias("nbr"), F.struct(*spec.features).alias("values"))
     around = (
-        edges.join(other, "nbr").groupBy("id")
+        edges.join(broadcast_if_small(other), "nbr").groupBy("id")
         .agg(F.sort_array(F.collect_list(F.struct("rank", "values"))).alias("around"))  # k entries per row
     )
     ranked = hash_rank(minority, [], spec.id, f"_smote_{seed}", out="_pos", n_rows=n)

@@ -34,6 +34,7 @@ def route_requests(df: DataFrame, features: Sequence[str] = EXP2_FEATURES) -> Da
         complete = complete & F.col(c).isNotNull()
     named = F.coalesce(F.col("identifier") != "", F.lit(False))
     route = F.when(named, F.lit("lookup")).when(complete, F.lit("values")).otherwise(F.lit("error"))
+    # Fixed value: the error text.
     message = F.lit(f"Provide either `identifier`, or all six of {', '.join(features)}.")
     return df.withColumn("route", route).withColumn("error", F.when(F.col("route") == "error", message))
 
