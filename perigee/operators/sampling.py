@@ -88,7 +88,8 @@ def smote_rows(
         .agg(F.sort_array(F.collect_list(F.struct("rank", "values"))).alias("around"))  # k entries per row
     )
     ranked = hash_rank(minority, [], spec.id, f"_smote_{seed}", out="_pos", n_rows=n)
-    base = ranked.join(around, F.col(spec.id) == F.col("id")).drop("id")
+    around = around.withColumnRenamed("id", "_around_id")
+    base = ranked.join(around, F.col(spec.id) == F.col("_around_id")).drop("_around_id")
     # Integer bounds of the new rows j with floor(j * n / n_new) = _pos - 1.
     first = F.expr(f"(cast(_pos - 1 as bigint) * {n_new} + {n - 1}) div {n}")
     last = F.expr(f"(cast(_pos as bigint) * {n_new} + {n - 1}) div {n} - 1")
