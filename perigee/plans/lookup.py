@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from perigee.functions.text import explain_column
 from perigee.operators import resolve as rs
 from perigee.operators import scoring
-from perigee.plans.population import rounded
+from perigee.plans.population import rounded, split_columns
 from perigee.plans.registry import query, table
 
 # Parts play the names dimension. Every part also sends one request: its key, name, designation, a piece of its full
@@ -24,15 +24,8 @@ REQUESTS = """p_partkey AS request_id,
       WHEN 6 THEN '  ' ELSE 'zzqq% ' || substr(p_brand, 1, 2) || ' fox jumps' END AS identifier"""
 
 
-def _columns(fragment: str) -> list[str]:
-    from perigee.plans.population import _split_columns
-
-    merged = _split_columns(fragment)
-    return [c for c in merged if c]
-
-
 def part_names(spark, sf_dir):
-    return table(spark, sf_dir, "part").selectExpr(*_columns(NAMES))
+    return table(spark, sf_dir, "part").selectExpr(*split_columns(NAMES))
 
 
 def part_requests(spark, sf_dir):
@@ -139,7 +132,7 @@ BODY_SQL = f"bodies AS (SELECT {BODIES.replace('AS INT)', 'AS INTEGER)')} FROM (
 
 def bodies(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("json_k", F.get_json_object("props", "$.k").cast("bigint"))
-    return events.selectExpr(*_columns(BODIES))
+    return events.selectExpr(*split_columns(BODIES))
 
 
 _REQUEST_BODY = """spkid,
@@ -161,7 +154,7 @@ _REQUEST_SQL = (
       CASE WHEN class_code BETWEEN 0 AND 12 THEN NULL ELSE 'class_code' END,
       CASE WHEN moid >= 0 THEN NULL ELSE 'moid' END) AS VARCHAR) AS errors FROM asked""")
 def validate_requests(spark, sf_dir):
-    asked = bodies(spark, sf_dir).selectExpr(*_columns(_REQUEST_BODY))
+    asked = bodies(spark, sf_dir).selectExpr(*split_columns(_REQUEST_BODY))
     return scoring.validate(asked).select("spkid", F.array_join("errors", ",").alias("errors"))
 
 
@@ -170,7 +163,7 @@ def validate_requests(spark, sf_dir):
     SELECT spkid, CASE WHEN identifier <> '' THEN 'lookup' WHEN e IS NOT NULL AND q IS NOT NULL AND H IS NOT NULL AND
       is_neo IS NOT NULL AND class_code IS NOT NULL AND moid IS NOT NULL THEN 'values' ELSE 'error' END AS route FROM r""")
 def route_requests(spark, sf_dir):
-    asked = bodies(spark, sf_dir).selectExpr(*_columns(_REQUEST_BODY)).withColumn(
+    asked = bodies(spark, sf_dir).selectExpr(*split_columns(_REQUEST_BODY)).withColumn(
         "identifier", F.expr("CASE WHEN spkid % 3 = 0 THEN CAST(spkid AS STRING) WHEN spkid % 3 = 1 THEN '' END")
     )
     return scoring.route_requests(asked).select("spkid", "route")

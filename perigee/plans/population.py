@@ -49,12 +49,10 @@ _CAPPED_SQL = f"""{_STAGED_SQL}, caps AS (
 
 
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Inside one parenthesised expression list the commas of the SQL fragment separate columns.
-    view = table(spark, sf_dir, "orders")
-    return view.selectExpr(*_split_columns(CATALOGUE))
+    return table(spark, sf_dir, "orders").selectExpr(*split_columns(CATALOGUE))
 
 
-def _split_columns(fragment: str) -> list[str]:
+def split_columns(fragment: str) -> list[str]:
     """Column expressions of a SELECT list, separated by commas at line ends."""
     lines, current = [], []
     for line in fragment.strip().splitlines():
