@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("mixing", "warc", "rules")
+MODULES = ("mixing", "simhash", "quality", "packing", "chat", "repeats", "warc", "rules", "vectors")
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
