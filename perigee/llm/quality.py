@@ -160,9 +160,9 @@ def train(rows: DataFrame, labels: DataFrame, id_col: str, label: str) -> Forest
     known = labels.filter(F.col(id_col).isNotNull() & F.col(label).isNotNull() & ~held_out(id_col))
     known = known.groupBy(id_col).agg((F.avg(label) >= 0.5).cast("int").alias("_y"))
     sample = rows.join(known, id_col).select("features", "_y", F.xxhash64(id_col).alias("_h"), F.col(id_col).alias("_i"))
-    got = sample.orderBy("_h", "_i", "features").limit(SAMPLE_ROWS).select("features", "_y").toPandas()
-    x = np.array(got["features"].tolist(), np.float32).reshape(-1, N_FEATURES).astype(np.float64)
-    return grow(x, got["_y"].to_numpy(np.float64))
+    got = sample.orderBy("_h", "_i", "features").limit(SAMPLE_ROWS).select("features", "_y").toArrow()
+    x = got["features"].combine_chunks().flatten().to_numpy().reshape(-1, N_FEATURES).astype(np.float64)
+    return grow(x, got["_y"].to_numpy().astype(np.float64))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str = "quality", text: str = "text") -> DataFrame:

@@ -194,9 +194,9 @@ def build_filter(keys: DataFrame) -> np.ndarray:
         F.shiftrightunsigned("key", at).bitwiseAND(F.lit(64 * FILTER_WORDS - 1)) for at in (0, 26)
     ])).alias("spot")
     one = F.expr("shiftleft(1L, cast(spot & 63 as int))")
-    rows = keys.select(spots).groupBy(F.shiftright("spot", 6).alias("word")).agg(F.bit_or(one).alias("bits")).toPandas()
+    rows = keys.select(spots).groupBy(F.shiftright("spot", 6).alias("word")).agg(F.bit_or(one).alias("bits")).toArrow()
     out = np.zeros(FILTER_WORDS, np.uint64)
-    out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
+    out[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return out
 
 

@@ -76,7 +76,7 @@ def principal_axes(classes: DataFrame, k: int) -> dict[int, np.ndarray]:
             yield batch(d=np.full(s.size, d), at=np.arange(s.size), v=s.ravel())
 
     summed = arrow_map(classes.select("vec"), run, "d bigint, at bigint, v double").groupBy("d", "at").agg(F.sum("v").alias("v"))
-    cells = summed.orderBy("d", "at").toPandas()
+    cells = summed.orderBy("d", "at").toArrow().to_pandas()
     axes = {}
     for d, part in cells.groupby("d"):
         s = part["v"].to_numpy().reshape(d + 1, d + 1)
