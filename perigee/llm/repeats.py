@@ -214,9 +214,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", window: int = WINDOW) ->
                 yield batch(**found)
 
     hashes = arrow_map(docs.select(text_bytes(text).alias("raw")), count, "key bigint, reach bigint")
-    by_reach = hashes.groupBy("key", "reach").agg(F.count("*").alias("n"))
-    by_key = by_reach.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("reaches")).filter("n > 1")
-    by_key = store(by_key.select("key", (F.col("reaches") > 1).alias("differing")))
+    by_key = hashes.groupBy("key").agg(F.count("*").alias("n"), F.min("reach").alias("a"), F.max("reach").alias("b")).filter("n > 1")
+    by_key = store(by_key.select("key", (F.col("a") != F.col("b")).alias("differing")))
     spark = docs.sparkSession
     filters = spark.sparkContext.broadcast((build_filter(by_key), build_filter(by_key.filter("differing"))))
 
