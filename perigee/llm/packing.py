@@ -10,9 +10,10 @@ their length and a number within it.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,14 +24,38 @@ from perigee.llm.common import arrow_map, batch, n_buckets, store, table, text_b
 
 CAPACITY = 4096
 END = 1
-# Words whose tokens a worker remembers.
-CACHE = 250_000
+# Words, and words without punctuation behind them, whose tokens a worker remembers.
+WORD_CACHE, STEM_CACHE = 400_000, 700_000
+ASCII_PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+# Letters below have one form and one lower case; they are Latin.
+LATIN_END = "\u0250"
+# How byte-level vocabularies write bytes as characters: printable ones as themselves, the others in order from 256.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 # Pieces of one length and bucket that one task numbers.
 BUCKET = 100_000
 
 
+class Cache(dict):
+    """Values made on demand by a function; forgets all of them at a number of entries."""
+
+    def __init__(self, make: Callable[[bytes], bytes], limit: int):
+        super().__init__()
+        self.make, self.limit = make, limit
+
+    def __missing__(self, key: bytes) -> bytes:
+        if len(self) >= self.limit:
+            self.clear()
+        value = self[key] = self.make(key)
+        return value
+
+
 class WordTokens:
-    """Token bytes of words. The tokenizer drops white space and never joins across it, so words are encoded one by one."""
+    """Token bytes of words. The tokenizer drops white space and never joins across it, so words are encoded one by one.
+
+    It also splits letters from other characters. A word of Latin letters with ASCII punctuation behind it is its letters'
+    tokens, straight from the merges, and the punctuation's; all other words go through the whole tokenizer.
+    """
 
     _shared: dict[str, WordTokens] = {}
 
@@ -39,7 +64,7 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.words, self.stems = Cache(self._word, WORD_CACHE), Cache(self._stem, STEM_CACHE)
 
     @classmethod
     def of(cls, path: str) -> WordTokens:
@@ -47,20 +72,29 @@ class WordTokens:
             cls._shared[path] = cls(path)
         return cls._shared[path]
 
+    def _whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _word(self, word: bytes) -> bytes:
+        stem = word.rstrip(ASCII_PUNCTUATION)
+        low = stem.decode("utf-8", "replace").lower()
+        # Some capital's lower case is a letter and a mark, which is no letter.
+        if not low.isalpha() or max(low) >= LATIN_END:
+            return self._whole(word.decode("utf-8", "replace"))
+        tail = word[len(stem) :]
+        return self.stems[low.encode()] + (self.stems[tail] if tail else b"")
+
+    def _stem(self, word: bytes) -> bytes:
+        text = word.decode()
+        if not text.isalpha():
+            return self._whole(text)
+        ids = [t.id for t in self.tokenizer.model.tokenize(text.encode().decode("latin-1").translate(BYTE_LETTERS))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def encode(self, raw: bytes) -> bytes:
         """The text's token ids as little-endian unsigned 32-bit numbers."""
-        words = raw.split()
-        known = self.known
-        new = list({w for w in words if w not in known})
-        if new:
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                new = list(set(words))
-            for at in range(0, len(new), 10_000):
-                part = new[at : at + 10_000]
-                found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-                known.update((w, np.array(f.ids, "<u4").tobytes()) for w, f in zip(part, found))
-        return b"".join([known[w] for w in words])
+        return b"".join(map(self.words.__getitem__, raw.split()))
 
 
 def token_pieces(docs: DataFrame, keep: list[str], tokenizer: str, text: str = "text", capacity: int = CAPACITY, end: int = END) -> DataFrame:
