@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from perigee.session import small_table
 
@@ -17,6 +18,9 @@ PERCENTILE_ROWS = 200_000
 # Values between two approximate percentiles that may be sorted in one buffer.
 BRACKET_ROWS = 20_000
 APPROX_ACCURACY = 10_000
+# Ranges of a global order at most, and how many of their bounds are compared one by one.
+MAX_RANGES = 4096
+GROUP = 64
 
 
 def hash_key(id_col: str | Column, salt: str) -> Column:
@@ -132,36 +136,46 @@ def _bisect(key: Column, bounds: Sequence[float]) -> Column:
     return build(0, len(bounds))
 
 
+def _range_of(key: Column, bounds: Sequence[float]) -> Column:
+    """Number of bounds <= key: a CASE tree over groups of bounds, then a count inside the group."""
+    groups = [list(bounds[i : i + GROUP]) for i in range(0, len(bounds), GROUP)]
+    if len(groups) <= 1:
+        return _bisect(key, bounds)
+    group = _bisect(key, [g[0] for g in groups[1:]])
+    inside = F.element_at(F.array(*[F.array(*map(F.lit, g)) for g in groups]), group + 1)
+    return group * GROUP + F.size(F.filter(inside, lambda b: b <= key))
+
+
 def running_totals(
-    df: DataFrame, key: str, sums: Sequence[str], descending: bool = True, buckets: int = 64
+    df: DataFrame, key: str, sums: Sequence[str], descending: bool = True, range_rows: int = BUCKET_ROWS
 ) -> DataFrame:
     """Running sums of ``sums`` over the whole order of a numeric ``key`` that is unique in ``df``.
 
-    Adds ``cum_<col>`` and ``total_<col>``. Keys are split into ranges by approximate quantiles, so that every range
-    holds about the same number of rows; one row of totals per range gives the offsets; rows are summed inside their
-    range. The range of a row depends only on its key, so recomputed partitions give the same result.
+    Adds ``cum_<col>`` and ``total_<col>``. A null key comes last in either direction. Keys are split by approximate
+    quantiles into ranges of about ``range_rows`` rows, as many as the data needs (MAX_RANGES at most; beyond that,
+    ranges grow); one row of totals per range gives the offsets, which are joined; rows are summed inside their range.
+    The range of a row depends only on its key, so recomputed partitions give the same result.
     """
-    probes = [i / buckets for i in range(1, buckets)]
-    found = df.agg(F.percentile_approx(key, probes, 10_000).alias("b"), F.count("*").alias("n")).first()
-    bounds = sorted(set(found["b"] or [])) if found["n"] > BUCKET_ROWS else []
-    ranged = df.withColumn("_range", _bisect(F.col(key), bounds))
-    per_range = ranged.groupBy("_range").agg(*[F.sum(c).alias(c) for c in sums]).collect()  # at most `buckets` rows
-    ordered = sorted(per_range, key=lambda r: r["_range"], reverse=descending)
+    n = df.agg(F.count(key)).first()[0]
+    ranges = min(max(1, -(-n // range_rows)), MAX_RANGES)
+    probes = [i / ranges for i in range(1, ranges)]
+    bounds = sorted(set(df.agg(F.percentile_approx(key, probes, APPROX_ACCURACY)).first()[0] or [])) if probes else []
+    last = -1 if descending else len(bounds) + 1
+    ranged = df.withColumn("_range", F.when(F.col(key).isNull(), last).otherwise(_range_of(F.col(key), bounds)))
+    per_range = ranged.groupBy("_range").agg(*[F.sum(c).alias(c) for c in sums]).collect()  # at most MAX_RANGES + 1 rows
     before, acc = [], dict.fromkeys(sums, 0)
-    for row in ordered:
+    for row in sorted(per_range, key=lambda r: r["_range"], reverse=descending):
         before.append((row["_range"], *[acc[c] for c in sums]))
         acc = {c: acc[c] + (row[c] or 0) for c in sums}
-    cases = {}
-    for j, c in enumerate(sums):
-        offset = F.lit(0)
-        for entry in before:
-            offset = F.when(F.col("_range") == entry[0], F.lit(entry[j + 1])).otherwise(offset)
-        cases[c] = offset
+    types = {f.name: f.dataType for f in ranged.groupBy("_range").agg(*[F.sum(c).alias(c) for c in sums]).schema.fields}
+    offsets = df.sparkSession.createDataFrame(
+        before, T.StructType([T.StructField("_range", T.IntegerType())] + [T.StructField(f"_offset_{c}", types[c]) for c in sums])
+    )
     order = F.col(key).desc() if descending else F.col(key).asc()
     inside = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    out = ranged.withColumns({f"cum_{c}": F.sum(c).over(inside) for c in sums})
-    out = out.withColumns({f"cum_{c}": F.col(f"cum_{c}") + cases[c] for c in sums})
-    return out.withColumns({f"total_{c}": F.lit(acc[c]) for c in sums}).drop("_range")
+    out = ranged.withColumns({f"cum_{c}": F.sum(c).over(inside) for c in sums}).join(F.broadcast(offsets), "_range")
+    out = out.withColumns({f"cum_{c}": F.col(f"cum_{c}") + F.col(f"_offset_{c}") for c in sums})
+    return out.withColumns({f"total_{c}": F.lit(acc[c]) for c in sums}).drop("_range", *[f"_offset_{c}" for c in sums])
 
 
 def exact_percentiles(

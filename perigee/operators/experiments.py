@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perigee.operators.metrics import METRIC_FIELDS, compute_metrics, curve_points
-from perigee.operators.models import ALL_MODELS, PARAM_SPACES, SEED, TUNABLE_MODELS, make_pipeline
+from perigee.operators.models import ALL_MODELS, PARAM_SPACES, SEED, make_pipeline, used_params
 from perigee.operators.sampling import smote, three_way_split
 from perigee.operators.scoring import apply_model
 from perigee.session import cut_lineage
@@ -76,44 +76,42 @@ def sized(frame: DataFrame, n_rows: int, per_partition: int = 50_000) -> DataFra
     return frame.coalesce(max(1, -(-n_rows // per_partition)))
 
 
-def search_on_validation(
-    train: DataFrame, val: DataFrame, spec: FeatureSpec, model: str, n_rows: int, n_iter: int, seed: int,
-    parallelism: int = 2,
-) -> tuple[dict, dict]:
-    """Best parameters and validation metrics over ``n_iter`` candidates, scored by validation PR-AUC.
+@dataclass
+class Candidate:
+    params: dict
+    model: PipelineModel
+    val_metrics: dict
 
-    The first of equal candidates wins. Without a search space the defaults are the only candidate.
-    """
-    space = PARAM_SPACES.get(model)
-    candidates = sample_candidates(space, n_iter, seed) if space else [{}]
 
-    def evaluate(params: dict) -> dict:
+def fit_candidates(
+    train: DataFrame, val: DataFrame, spec: FeatureSpec, model: str, n_rows: int, n_iter: int, seed: int, parallelism: int = 4
+) -> list[Candidate]:
+    """Fitted parameter sets with their validation metrics; the defaults alone for a model without a search space."""
+    space = PARAM_SPACES.get(model, {})
+
+    def fit(params: dict) -> Candidate:
         fitted = make_pipeline(model, spec, n_rows, key=ROW_KEY, **params).fit(train)
-        return _metrics_of(fitted, val, spec)
+        return Candidate(used_params(model, params), fitted, _metrics_of(fitted, val, spec))
 
-    with ThreadPool(max(1, min(parallelism, len(candidates)))) as pool:
-        results = pool.map(evaluate, candidates, chunksize=1)
-    best = max(range(len(candidates)), key=lambda i: (results[i]["pr_auc"], -i))
-    return candidates[best], results[best]
+    drawn = sample_candidates(space, n_iter, seed)
+    with ThreadPool(max(1, min(parallelism, len(drawn)))) as pool:
+        return pool.map(fit, drawn, chunksize=1)
 
 
 def run_experiment(
     split: DataFrame, spec: FeatureSpec, model: str, n_iter: int = 10, seed: int = SEED, train: DataFrame | None = None,
 ) -> ExperimentResult:
-    """One model on one split: balance train, choose parameters on validation, refit on train, evaluate test once."""
+    """One model on one split: the candidate with the best validation PR-AUC, the first of equals, meets the test rows once.
+
+    A fit depends on frame, parameters and seed alone, so the winner is kept and not fitted again.
+    """
     if train is None:
         train = resampled_train(split, spec, seed=seed)
     n_rows = train.count()
-    train = sized(train, n_rows)
-    val, test = split.filter("split = 'val'"), split.filter("split = 'test'")
-    if model in TUNABLE_MODELS:
-        params, val_metrics = search_on_validation(train, val, spec, model, n_rows, n_iter, seed)
-        fitted = make_pipeline(model, spec, n_rows, key=ROW_KEY, **params).fit(train)
-    else:
-        params = {}
-        fitted = make_pipeline(model, spec, n_rows, key=ROW_KEY).fit(train)
-        val_metrics = _metrics_of(fitted, val, spec)
-    return ExperimentResult(model, params, val_metrics, _metrics_of(fitted, test, spec), fitted)
+    found = fit_candidates(sized(train, n_rows), split.filter("split = 'val'"), spec, model, n_rows, n_iter, seed)
+    best = max(found, key=lambda c: c.val_metrics["pr_auc"])
+    test_metrics = _metrics_of(best.model, split.filter("split = 'test'"), spec)
+    return ExperimentResult(model, best.params, best.val_metrics, test_metrics, best.model)
 
 
 def average_precision(df: DataFrame, label: str, score: str) -> float:

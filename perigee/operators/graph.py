@@ -6,6 +6,7 @@ Vertices are long keys. Every round ends in a checkpoint, so plans stay short an
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -128,12 +129,13 @@ def _half_move(state: DataFrame, links: DataFrame, m: float, half: int, seed: in
     return cut_lineage(state.join(choice, "v", "left").select("v", F.coalesce("to", "c").alias("c"), "k"))
 
 
-def communities(edges: DataFrame, max_sweeps: int = 4, max_levels: int = 6, seed: int = 42) -> DataFrame:
+def communities(edges: DataFrame, seed: int = 42) -> DataFrame:
     """Louvain communities ``(v, c)`` of an undirected graph ``(src, dst[, w])``.
 
     A sweep moves vertices to the neighbouring community with the largest modularity gain, one hashed half of the
-    vertices after the other, so that neighbours do not swap places. A sweep that does not raise modularity is undone.
-    Settled communities are contracted to vertices and the next level starts, until modularity stops growing.
+    vertices after the other, so that neighbours do not swap places. A sweep that does not raise modularity is undone
+    and ends its level. Settled communities are contracted to vertices and the next level starts. All ends when a level
+    raises modularity no more; as every sweep raises it by a least step, that is sure to come.
     """
     weight: Column = F.col("w").cast("double") if "w" in edges.columns else F.lit(1.0)
     graph = cut_lineage(edges.select("src", "dst", weight.alias("w")))
@@ -143,7 +145,7 @@ def communities(edges: DataFrame, max_sweeps: int = 4, max_levels: int = 6, seed
     if not m:
         return final
     best = modularity(graph, final).first()[0]
-    for level in range(max_levels):
+    while True:
         start = best
         links = cut_lineage(graph.unionByName(graph.filter("src != dst").select(
             F.col("dst").alias("src"), F.col("src").alias("dst"), "w"
@@ -153,7 +155,7 @@ def communities(edges: DataFrame, max_sweeps: int = 4, max_levels: int = 6, seed
             F.sum(F.when(F.col("src") == F.col("dst"), 2 * F.col("w")).otherwise(F.col("w"))).alias("k")
         )
         state = cut_lineage(degree.select("v", F.col("v").alias("c"), "k"))
-        for sweep in range(max_sweeps):
+        for sweep in count():
             moved = _half_move(_half_move(state, links, m, 0, seed + sweep), links, m, 1, seed + sweep)
             reached = modularity(graph, moved).first()[0]
             if reached <= best + 1e-7:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perigee.operators.distributed import running_totals
+from perigee.operators.distributed import BUCKET_ROWS, running_totals
 from perigee.session import cut_lineage
 
 # Metric names.
@@ -39,19 +39,20 @@ def confusion(df: DataFrame, label: str, pred: str) -> DataFrame:
     )
 
 
-def curve_points(df: DataFrame, label: str, score: str) -> DataFrame:
+def curve_points(df: DataFrame, label: str, score: str, range_rows: int = BUCKET_ROWS) -> DataFrame:
     """One row per distinct score, as a threshold: running tp and fp, (fpr, tpr) and (recall, precision).
 
     Rows are reduced to one per score before anything is ordered. The precision-recall curve is anchored at recall 0,
     precision 1. ``pr_area`` and ``roc_area`` are the trapezoids between a point and the one before it; the point
-    before is the running sum minus the row's own counts, so no lag over the global order is needed.
+    before is the running sum minus the row's own counts, so no lag over the global order is needed. Rows without a
+    score come last, as one threshold that is null: they are the last to be called positive.
     """
     y = F.col(label).cast("int")
     # Stored once: the ranges, their totals and the running sums each read it.
     per_score = cut_lineage(df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.count(F.when(y == 1, 1)).alias("pos"), F.count(F.when(y == 0, 1)).alias("neg")
     ))
-    run = running_totals(per_score, "threshold", ["pos", "neg"])
+    run = running_totals(per_score, "threshold", ["pos", "neg"], range_rows=range_rows)
     tp, fp, p, n = F.col("cum_pos"), F.col("cum_neg"), F.col("total_pos"), F.col("total_neg")
     tp0, fp0 = tp - F.col("pos"), fp - F.col("neg")
     precision = _ratio(tp, tp + fp)

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from perigee.spec import FeatureSpec
 
+# Model names.
 ALL_MODELS = ("logistic_regression", "decision_tree", "random_forest", "linear_svc")
 TUNABLE_MODELS = ("decision_tree", "random_forest")
 SEED = 42
-# Trees without a depth limit stop here; the library's own ceiling is 30.
-UNLIMITED_DEPTH = 20
+# Trees without a depth limit stop at the library's ceiling.
+UNLIMITED_DEPTH = 30
 MAX_BINS = 1024
 
 # Search spaces. There is no parameter for the minimum rows of a node that may be split, so it is left out.
@@ -51,12 +52,12 @@ class CalibratedLinearSVC(Estimator):
 
     Per fold the SVM is fitted on the other folds, and a sigmoid on its margins over the held-out fold. Sigmoid targets
     are shrunk towards the fold's class counts, by giving each held-out row both labels with complementary weights.
-    ``maxIter`` counts quasi-Newton steps over the whole frame, each a Spark job.
+    ``maxIter`` counts quasi-Newton steps over the whole frame, each a Spark job; the tolerance ends a fit well before.
     ``fit`` returns a pipeline of plain stages with one ``probability_<fold>`` column each.
     """
 
     def __init__(self, featuresCol: str, labelCol: str, keyCol: str, folds: int = 3, regParam: float = 0.0,
-                 maxIter: int = 100, tol: float = 1e-4, weightCol: str | None = None):
+                 maxIter: int = 2000, tol: float = 1e-4, weightCol: str | None = None):
         super().__init__()
         self.features, self.label, self.key = featuresCol, labelCol, keyCol
         self.folds, self.reg, self.iterations, self.tol, self.weight = folds, regParam, maxIter, tol, weightCol
@@ -94,6 +95,11 @@ class CalibratedLinearSVC(Estimator):
         return PipelineModel(stages)
 
 
+def used_params(name: str, params: dict) -> dict:
+    """The parameters a fit really uses: no depth limit is the ceiling."""
+    return {k: UNLIMITED_DEPTH if k == "max_depth" and v is None else v for k, v in params.items()} if name in TUNABLE_MODELS else params
+
+
 def make_pipeline(
     name: str, spec: FeatureSpec, n_rows: int = 1000, key: str | None = None, weight: str | None = None,
     seed: int = SEED, **params,

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perigee.functions.text import explain_column, rule_met
+from perigee.operators.resolve import fetch_records, resolve
+from perigee.session import cut_lineage
 from perigee.spec import EXP2_FEATURES, REQUEST_RULES, FeatureSpec
 
 log = logging.getLogger(__name__)
@@ -84,6 +86,31 @@ def score(df: DataFrame, model, spec: FeatureSpec, moid: str = "moid", h: str =
     )
 
 
+def predict(requests: DataFrame, model, fact: DataFrame, names: DataFrame, spec: FeatureSpec, **options) -> DataFrame:
+    """Requests by identifier or by values: the requests' other columns with route, key, decision, explanation and error.
+
+    An identifier is resolved to a record of ``fact`` (``options`` go to the resolver), values are checked; whatever is
+    left is scored in one pass. Requests that cannot be answered stay, with the reason as ``error``.
+    """
+    extra = [c for c in requests.columns if c not in (spec.id, "identifier", *spec.features)]
+    routed = cut_lineage(route_requests(requests, spec.features))
+    named = routed.filter("route = 'lookup'").select(*extra, "route", "identifier")
+    asked = cut_lineage(named.select("identifier").distinct())
+    records = fetch_records(resolve(asked, names, spec.id, **options), fact, names, spec.id)
+    record = records.select(F.col("identifier").alias("_asked"), spec.id, *spec.features)
+    looked_up = named.join(record, F.col("identifier") == F.col("_asked"), "left").drop("_asked").withColumn(
+        "error", F.when(F.col(spec.id).isNull(), F.lit("not found"))
+    )
+    given = validate(routed.filter("route <> 'lookup'").withColumn(spec.id, F.lit(None).cast(fact.schema[spec.id].dataType)))
+    broken = F.when((F.col("route") == "values") & (F.size("errors") > 0), F.concat(F.lit("invalid: "), F.array_join("errors", ",")))
+    given = given.withColumn("error", F.coalesce("error", broken))
+    columns = [*extra, "route", "identifier", spec.id, *spec.features, "error"]
+    together = looked_up.select(*columns).unionByName(given.select(*columns))
+    # A request with an error has no features, so it gets no decision.
+    blanked = together.withColumns({c: F.when(F.col("error").isNull(), F.col(c)) for c in spec.features})
+    return score(blanked, model, spec).select(*extra, "route", "identifier", spec.id, "is_pha", "probability", "explanation", "error")
+
+
 def prediction_log(scored: DataFrame, features: Sequence[str] = EXP2_FEATURES) -> DataFrame:
     """Log rows: request id, epoch second, features as text, decision and probability as text."""
     pairs = [part for c in features for part in (F.lit(c), F.col(c).cast("string"))]

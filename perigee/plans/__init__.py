@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("population", "profiling", "sampling", "evaluation", "lookup", "neighbourhood", "training", "serving")
+MODULES = ("population", "profiling", "sampling", "evaluation", "lookup", "neighbourhood", "training", "serving", "scale", "files")
 
 
 def load_all() -> None:

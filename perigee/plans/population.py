@@ -146,11 +146,13 @@ def row_count_contract(spark, sf_dir):
     return row_count_check(table(spark, sf_dir, "lineitem"), 60_000, "lineitem")
 
 
-@query("names_dim", """
-    SELECT c_custkey, c_name, c_mktsegment FROM customer
-    WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)""")
+@query("names_dim", f"""
+    WITH {_CAPPED_SQL} SELECT c_custkey, c_name, c_mktsegment FROM customer
+    WHERE c_custkey IN (SELECT o_custkey FROM mart JOIN orders ON spkid = o_orderkey)""")
 def names_dim(spark, sf_dir):
-    fact = table(spark, sf_dir, "orders").filter("o_totalprice > 300000").withColumnRenamed("o_custkey", "c_custkey")
+    """Customers that the mart's rows belong to."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("spkid"), F.col("o_custkey").alias("c_custkey"))
+    fact = mart(spark, sf_dir).join(orders, "spkid")
     return staging.names_dim(table(spark, sf_dir, "customer"), fact, "c_custkey", ["c_name", "c_mktsegment"])
 
 

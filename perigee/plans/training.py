@@ -9,11 +9,11 @@ from perigee.operators import experiments as ex
 from perigee.operators import models
 from perigee.operators.metrics import METRIC_FIELDS
 from perigee.operators.sampling import three_way_split
-from perigee.plans.lookup import bodies
+from perigee.plans.lookup import BODY_SQL, bodies
 from perigee.plans.population import rounded
 from perigee.plans.registry import query, table
 from perigee.session import cut_lineage, scratch_path
-from perigee.spec import WITH_MOID, WITHOUT_MOID
+from perigee.spec import FEATURE_SETS, WITH_MOID, WITHOUT_MOID
 
 _MODEL = "CASE user_id % 5 WHEN 0 THEN 'logistic_regression' WHEN 1 THEN 'decision_tree' WHEN 2 THEN 'random_forest' WHEN 3 THEN 'linear_svc' ELSE 'other_model' END"
 _SET = "CASE WHEN event_type IN ('click', 'view') THEN 'exp1_moid_excluded' ELSE 'exp2_moid_included' END"
@@ -129,13 +129,35 @@ def class_weights(spark, sf_dir):
 
 @query("experiment_grid")
 def experiment_grid(spark, sf_dir):
-    """Both feature sets with one model, logged, exported as champion and reported."""
+    """Both feature sets with all four models, logged, exported as champion and reported."""
     base = scratch_path(spark, "grid")
     runs = ex.run_grid(
-        spark, labelled_bodies(spark, sf_dir), {"exp1_moid_excluded": WITHOUT_MOID, "exp2_moid_included": WITH_MOID},
-        f"{base}/runs", "bodies", n_iter=2, models=("decision_tree",), model_dir=f"{base}/models",
+        spark, labelled_bodies(spark, sf_dir), FEATURE_SETS, f"{base}/runs", "bodies", n_iter=3, model_dir=f"{base}/models",
     )
     ex.export_champion(runs, {
         "dataset": "bodies", "feature_set": "exp2_moid_included", "model_name": "decision_tree",
     }, f"{base}/champion")
     return ex.results_table(runs, "bodies")
+
+
+_LEAST_PR_AUC = {"logistic_regression": 0.3, "decision_tree": 0.9, "random_forest": 0.9, "linear_svc": 0.3}
+
+
+@query("training_checks", f"""
+    WITH {BODY_SQL}, n AS (SELECT count(*) FILTER (y) AS p, count(*) FILTER (NOT y) AS n FROM (SELECT moid <= 0.05 AND H <= 22 AS y FROM bodies)),
+    t AS (SELECT CAST(round(p * 0.2e0) AS BIGINT) AS p, CAST(round(n * 0.2e0) AS BIGINT) AS n FROM n)
+    SELECT model, p AS test_positives, n AS test_negatives, round(n / (p + n)::DOUBLE, 6) AS naive_baseline_accuracy, true AS counts_add_up, true AS pr_auc_reached
+    FROM t CROSS JOIN (VALUES {', '.join(f"('{m}')" for m in _LEAST_PR_AUC)}) AS v(model)""")
+def training_checks(spark, sf_dir):
+    """What is certain of the trained models: sizes of the test split, counts that add up, and a least quality."""
+    split = _split(spark, sf_dir)
+    train = ex.resampled_train(split, WITH_MOID)
+    rows = []
+    for model, least in _LEAST_PR_AUC.items():
+        m = ex.run_experiment(split, WITH_MOID, model, n_iter=1, train=train).test_metrics
+        tp, fn, fp, tn = (int(m[c]) for c in ("true_positives", "false_negatives", "false_positives", "true_negatives"))
+        adds_up = abs(m["accuracy"] * (tp + fn + fp + tn) - tp - tn) < 1e-6 and 0 <= m["recall"] <= 1 and 0 <= m["precision"] <= 1
+        rows.append((model, tp + fn, fp + tn, float(m["naive_baseline_accuracy"]), adds_up, m["pr_auc"] >= least))
+    return rounded(spark.createDataFrame(
+        rows, "model string, test_positives bigint, test_negatives bigint, naive_baseline_accuracy double, counts_add_up boolean, pr_auc_reached boolean"
+    ))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,30 +15,52 @@ SEEDS = Path(__file__).resolve().parent.parent / "seeds"
 CORRUPT = "_corrupt"
 
 
-def read_csv_lenient(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
+def _csv(spark: SparkSession):
+    return spark.read.option("maxCharsPerColumn", -1).option("escape", '"')
+
+
+def read_csv_lenient(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, header: bool = True, mixed_headers: bool = False
+) -> DataFrame:
     """CSV scan with a declared schema. Bad values become null and the whole line is kept in ``_corrupt``.
 
     Files stay splittable: a record never spans lines, so a stray quote cannot swallow its neighbours. Columns are
-    taken by header name in any order and case.
+    taken by header name in any order and case. All files must have the header of the first, or the scan fails; with
+    ``mixed_headers`` one more scan of lines groups the files by header, and each group is read by its own.
     """
     if not header:
-        with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-        return (
-            spark.read.schema(with_corrupt).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-            .option("maxCharsPerColumn", -1)
-            .option("escape", '"').csv(path)
-        )
-    # Only the header line decides the file's column order; every column is then read under the declared type.
-    names = spark.read.option("header", True).option("maxCharsPerColumn", -1).option("escape", '"').csv(path).columns
-    declared = {f.name.lower(): f for f in schema.fields}
-    ordered = T.StructType(
-        [T.StructField(n, declared[n.lower()].dataType if n.lower() in declared else T.StringType()) for n in names]
-        + [T.StructField(CORRUPT, T.StringType())]
-    )
-    raw = (
-        spark.read.schema(ordered).option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", True)
-        .option("columnNameOfCorruptRecord", CORRUPT).option("maxCharsPerColumn", -1).option("escape", '"').csv(path)
+        return _lenient(_csv(spark).schema(_with_corrupt(schema)), path)
+    if not mixed_headers:
+        return _by_name(spark, path, _csv(spark).option("header", True).csv(path).columns, schema)
+    # The first line of every file, from its first block.
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at")
     )
+    first = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("line")).collect()  # one row per file
+    groups: dict[str, list[str]] = {}
+    for row in sorted(first, key=lambda r: r["file"]):
+        groups.setdefault(row["line"], []).append(row["file"])
+    parts = [_by_name(spark, files, _csv(spark).option("header", True).csv(files[:1]).columns, schema) for files in groups.values()]
+    if not parts:
+        return spark.createDataFrame([], _with_corrupt(schema))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+
+
+def _lenient(reader, path) -> DataFrame:
+    return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+
+
+def _by_name(spark: SparkSession, path, names: list[str], schema: T.StructType) -> DataFrame:
+    """Files with the header ``names``, every column read under its declared type; a file with another header fails."""
+    declared = {f.name.lower(): f for f in schema.fields}
+    ordered = T.StructType([
+        T.StructField(n, declared[n.lower()].dataType if n.lower() in declared else T.StringType()) for n in names
+    ])
+    raw = _lenient(_csv(spark).schema(_with_corrupt(ordered)).option("header", True).option("enforceSchema", False), path)
     present = {n.lower(): n for n in names}
     return raw.select(
         *[
@@ -92,7 +115,7 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def row_count_check(df: DataFrame, expected: int, name: str = "row_count") -> DataFrame:

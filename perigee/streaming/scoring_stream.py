@@ -51,9 +51,9 @@ def score_requests(requests: DataFrame, model, fact: DataFrame, names: DataFrame
 
 def score_stream(
     spark: SparkSession, in_dir: str, out_dir: str, dead_dir: str, checkpoint: str, model, fact: DataFrame,
-    names: DataFrame, spec: FeatureSpec = WITH_MOID, log_dir: str | None = None, **options,
+    names: DataFrame, spec: FeatureSpec = WITH_MOID, log_dir: str | None = None, files_per_batch: int = 1000, **options,
 ):
-    """Drains what is available, then stops. Returns the ``StreamingQuery``."""
+    """Drains what is available in batches of so many files, then stops. Returns the ``StreamingQuery``."""
     def process(batch: DataFrame, batch_id: int) -> None:
         # The batch is stored once: resolution reads it several times.
         messages = cut_lineage(batch)
@@ -69,10 +69,11 @@ def score_stream(
                 log.warning("prediction log failed: %s", exc)
 
     return (
-        spark.readStream.format("text").load(in_dir)
+        spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch).load(in_dir)
         .writeStream.foreachBatch(process).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
 def read_results(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.schema(RESULT_SCHEMA).json(out_dir)
+    """Results of all batches, without the batch number that their folders carry."""
+    return spark.read.schema(RESULT_SCHEMA).json(out_dir).drop("batch_id")

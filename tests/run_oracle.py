@@ -1,5 +1,6 @@
 """Compares registered queries with their oracles: ``python tests/run_oracle.py SF_DIR [name ...]``."""
 
+import os
 import sys
 import time
 import traceback
@@ -21,7 +22,7 @@ def main() -> int:
         if (ROOT / "perigee" / "plans" / f"{m}.py").exists():
             importlib.import_module(f"perigee.plans.{m}")
     spark = get_session(
-        "oracle", "local[8]",
+        "oracle", os.environ.get("ORACLE_MASTER", "local[8]"),
         **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g",
            "spark.ui.showConsoleProgress": "false"},
     )

@@ -28,16 +28,29 @@ def test_percentiles_of_nothing_are_null(skewed):
     assert d.exact_percentiles(df.filter("x < 0"), ["x"], [0.5])["x"] == [None]
 
 
-@pytest.mark.parametrize("rows", [1, 10**9])
-def test_running_totals_over_ranges(skewed, monkeypatch, rows):
+@pytest.mark.parametrize("rows", [7, 300, 10**9])
+def test_running_totals_over_ranges(skewed, rows):
     df, x = skewed
-    monkeypatch.setattr(d, "BUCKET_ROWS", rows)
     per = df.groupBy("x").agg(F.count("*").alias("n"))
-    got = {r["x"]: r["cum_n"] for r in d.running_totals(per, "x", ["n"], descending=False, buckets=16).collect()}
+    got = {r["x"]: r["cum_n"] for r in d.running_totals(per, "x", ["n"], descending=False, range_rows=rows).collect()}
     values, counts = np.unique(x, return_counts=True)
     assert got == dict(zip(values.tolist(), np.cumsum(counts).tolist()))
 
 
+@pytest.mark.parametrize("descending", [True, False])
+def test_null_keys_come_last_for_any_range(spark, descending):
+    rows = [(None, 5), *[(float(i), i % 3 + 1) for i in range(200)]]
+    df = spark.createDataFrame(rows, "x double, n long")
+    got = [
+        {r["x"]: (r["cum_n"], r["total_n"]) for r in d.running_totals(df, "x", ["n"], descending, range_rows=rr).collect()}
+        for rr in (3, 50, 10**9)
+    ]
+    total = sum(n for _, n in rows)
+    assert got[0] == got[1] == got[2] and got[0][None] == (total, total)
+    first = 199.0 if descending else 0.0
+    assert got[0][first] == (2 if descending else 1, total)
+
+
 @pytest.mark.parametrize("n_rows", [10, 10**9])
 def test_hash_rank_is_a_permutation_for_any_bucket_count(skewed, n_rows):
     df, _ = skewed

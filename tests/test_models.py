@@ -109,3 +109,18 @@ def test_weights_balance_classes(spark):
     df = spark.createDataFrame([(1,), (0,), (0,), (0,)], "y int")
     rows = {(r["y"], round(r["weight"], 6)) for r in models.balanced_weights(df, "y").collect()}
     assert rows == {(1, 2.0), (0, round(4 / 6, 6))}
+
+
+@pytest.mark.parametrize("name", ["logistic_regression", "random_forest"])
+def test_other_models_rank_the_rule_well(split, train, name):
+    params = {"n_estimators": 20} if name == "random_forest" else {}
+    fitted = models.make_pipeline(name, WITH_MOID, 1000, **params).fit(ex.sized(train, 1000))
+    found = ex._metrics_of(fitted, split.filter("split = 'test'"), WITH_MOID)
+    assert found["roc_auc"] > 0.9 and found["recall"] > 0.8
+
+
+def test_runs_log_the_depth_that_was_used(split, train, monkeypatch):
+    monkeypatch.setitem(ex.PARAM_SPACES, "decision_tree", {"max_depth": [None]})
+    result = ex.run_experiment(split, WITH_MOID, "decision_tree", n_iter=1, train=train)
+    assert result.best_params == {"max_depth": models.UNLIMITED_DEPTH}
+    assert result.model.stages[-1].getMaxDepth() == models.UNLIMITED_DEPTH

@@ -1,4 +1,6 @@
 import pytest
+
+from perigee.sources import tables
 from pyspark.sql import functions as F
 
 from perigee.operators import quality as dq
@@ -104,3 +106,15 @@ def test_broadcast_hint_only_below_the_limit(spark):
     hinted = broadcast_if_small(spark.range(10), 10)._jdf.queryExecution().logical().toString()
     plain = broadcast_if_small(spark.range(11), 10)._jdf.queryExecution().logical().toString()
     assert "Hint" in hinted and "Hint" not in plain
+
+
+def test_files_with_another_header_fail_or_are_grouped(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("x", T.IntegerType()), T.StructField("y", T.StringType())])
+    for name, text in (("a", "x,y\n1,one\n"), ("b", "Y,X\ntwo,2\n"), ("c", "x,y\nbad,three\n")):
+        (tmp_path / f"{name}.csv").write_text(text)
+    with pytest.raises(Exception, match="header"):
+        tables.read_csv_lenient(spark, str(tmp_path), schema).collect()
+    rows = tables.read_csv_lenient(spark, str(tmp_path), schema, mixed_headers=True).collect()
+    assert sorted((r["x"] or 0, r["y"], r[tables.CORRUPT]) for r in rows) == [(0, "three", "bad,three"), (1, "one", None), (2, "two", None)]

@@ -42,3 +42,21 @@ def test_each_request_is_scored_once(spark, world, tmp_path):
     st.submit(spark.createDataFrame([("Body 5",)], "identifier string"), f"{base}/in")
     assert len(drain()) == 6
     assert spark.read.parquet(f"{base}/log").count() == 5
+
+
+def test_requests_by_identifier_or_values(spark, world):
+    from perigee.operators.scoring import predict
+
+    fact, names, model = world
+    values = (0.3, 0.9, 18.0, True, 1, 0.02)
+    rows = [
+        (1, "body 4", None, None, None, None, None, None), (2, None, *values), (3, "", *values), (4, None, 1.5, *values[1:]), (5, "zzqqxx", *values),
+        (6, None, None, *values[1:]), (7, "body 4", 1.5, *values[1:]), (8, "7", *values),
+    ]
+    schema = "request_id int, identifier string, e double, q double, H double, is_neo boolean, class_code int, moid double"
+    out = {r["request_id"]: r for r in predict(spark.createDataFrame(rows, schema), model, fact.drop("is_pha"), names, WITH_MOID).collect()}
+    assert {k: (r["route"], r["spkid"], r["is_pha"]) for k, r in out.items() if r["error"] is None} == {
+        1: ("lookup", 4, True), 2: ("values", None, True), 3: ("values", None, True), 7: ("lookup", 4, True), 8: ("lookup", 7, False),
+    }
+    assert out[4]["error"] == "invalid: e" and out[5]["error"] == "not found" and out[6]["error"].startswith("Provide either")
+    assert all(out[k]["is_pha"] is None and out[k]["probability"] is None and out[k]["explanation"] is None for k in (4, 5, 6))
