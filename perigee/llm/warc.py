@@ -215,7 +215,7 @@ def revisits(index: DataFrame, min_bytes: int) -> DataFrame:
     page, all but none are revisits: rows that equal the kept one in every column stay responses with one identifier.
     """
     big = index.filter(F.col("bytes") >= min_bytes)
-    best = big.groupBy("digest", "bytes").agg(F.max(F.struct(F.col("page_id").cast("long").alias("n"), "page_id", "url")).alias("m"), F.count("*").alias("copies"))
+    best = big.groupBy("digest", "bytes").agg(F.max(F.struct(F.col("page_id").try_cast("long").alias("n"), "page_id", "url")).alias("m"), F.count("*").alias("copies"))
     best = best.filter("copies > 1").select("digest", "bytes", F.col("m.page_id").alias("first_page"), F.col("m.url").alias("first_url"))
     return big.join(best, ["digest", "bytes"]).filter("page_id <> first_page or url <> first_url").select("page_id", "url", "digest", "first_page", "first_url").distinct()
 
