@@ -119,7 +119,7 @@ def token_pieces(docs: DataFrame, keep: list[str], tokenizer: str, text: str = "
                 length=np.array(length, np.int64), ids_crc32=np.array(crc, np.int64),
             )
 
-    chosen = docs.select(*[F.col(c) for c in keep], text_bytes(text).alias("_text"))
+    chosen = docs.select(*[F.col(c) for c in keep], text_bytes(text).alias("__text"))
     fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1]), "piece int, start bigint, length bigint, ids_crc32 bigint"])
     return arrow_map(chosen, run, fields)
 

@@ -67,7 +67,7 @@ def document_features(docs: DataFrame, keep: list[str], text: str = "text") -> D
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * N_FEATURES), flat)
             yield batch(**{c: b.column(i) for i, c in enumerate(keep)}, features=lists)
 
-    chosen = docs.select(*[F.col(c) for c in keep], text_bytes(text).alias("_text"))
+    chosen = docs.select(*[F.col(c) for c in keep], text_bytes(text).alias("__text"))
     fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1]), "features array<float>"])
     return arrow_map(chosen, run, fields)
 

@@ -74,7 +74,7 @@ def document_stats(docs: DataFrame, keep: list[str], text: str = "text") -> Data
             stats = np.array([text_stats(t) for t in b.column(b.num_columns - 1).to_pylist()], np.int64).reshape(-1, len(STATS))
             yield batch(**{c: b.column(i) for i, c in enumerate(keep)}, **{c: stats[:, i] for i, c in enumerate(STATS)})
 
-    chosen = docs.select(*[F.col(c) for c in keep], text_bytes(text).alias("_text"))
+    chosen = docs.select(*[F.col(c) for c in keep], text_bytes(text).alias("__text"))
     fields = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1]] + [f"{c} bigint" for c in STATS])
     return arrow_map(chosen, run, fields)
 

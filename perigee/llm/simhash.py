@@ -72,7 +72,7 @@ def with_fingerprints(docs: DataFrame, keep: list[str], shingle: int, n_words: i
                 out.append(fingerprint(h, n_words) + (len(h).to_bytes(8, "little") if distinct else b""))
             yield batch(**{c: b.column(i) for i, c in enumerate(keep)}, _fp=pa.array(out, pa.binary()))
 
-    chosen = docs.select(*[F.col(c) for c in keep], text_bytes(text).alias("_text"))
+    chosen = docs.select(*[F.col(c) for c in keep], text_bytes(text).alias("__text"))
     fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1]), "_fp binary"])
     return arrow_map(chosen, run, fields)
 
