@@ -13,10 +13,11 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from perigee.llm.common import store, table
+from perigee.llm.common import columns_of, store, table
 
 # Type of an argument in a schema -> what Spark calls the type of such a JSON value.
 JSON_TYPES = {"string": "STRING", "integer": "BIGINT", "number": "BIGINT|DOUBLE|DECIMAL.*", "boolean": "BOOLEAN", "object": "OBJECT.*", "array": "ARRAY.*"}
+EVENT_COLUMNS = ("conv", "turn", "kind", "role", "call_id", "name", "arguments", "after", "content")
 Schema = Mapping[str, tuple[str, bool]]  # argument -> (type, required)
 
 
@@ -57,7 +58,7 @@ def ordered_calls(calls: DataFrame) -> DataFrame:
     links = store(links.join(known, on, "left").select("conv", "call_id", "dep", F.col("_d").isNull().alias("lost")))
     unmet = links.filter("lost").select("conv", "call_id").distinct().withColumn("lost", F.lit(True))
     links = links.filter("not lost").select("conv", "call_id", "dep")
-    # Calls of a conversation; a delay of more steps than that goes round in a circle.
+    # Calls of a conversation; a delay of as many steps goes round in a circle.
     most = state.groupBy("conv").agg(F.count("*").alias("most"))
     same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
     state = store(state.join(most.withColumnRenamed("conv", "_c"), same("conv", "_c")).select("conv", "call_id", "turn", "place", "most"))
@@ -72,7 +73,7 @@ def ordered_calls(calls: DataFrame) -> DataFrame:
             break
     unmet = unmet.withColumnsRenamed({"conv": "_c", "call_id": "_d"})
     out = state.join(unmet, same("conv", "_c") & (F.col("call_id") == F.col("_d")), "left")
-    return out.select("conv", "call_id", "place.at", "place.step", (F.coalesce("lost", F.lit(False)) | (F.col("place.step") > F.col("most"))).alias("unmet"))
+    return out.select("conv", "call_id", "place.at", "place.step", (F.coalesce("lost", F.lit(False)) | (F.col("place.step") >= F.col("most"))).alias("unmet"))
 
 
 def link_chats(events: DataFrame, schemas: Mapping[str, Schema]) -> DataFrame:
@@ -83,6 +84,7 @@ def link_chats(events: DataFrame, schemas: Mapping[str, Schema]) -> DataFrame:
     unmet (a dependency is missing or circular), unanswered or ok; of a result: orphan or ok. Null conversations form
     one, null identifiers link with nothing, and of equal rows all stay.
     """
+    events = columns_of(events, EVENT_COLUMNS)
     calls = events.filter("kind = 'call' and call_id is not null")
     first = calls.groupBy("conv", "call_id").agg(F.min(F.struct("turn", "after")).alias("x"))
     first = store(first.select("conv", "call_id", "x.turn", F.coalesce("x.after", F.array().cast("array<string>")).alias("after")))

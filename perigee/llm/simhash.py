@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from perigee.llm.common import arrow_map, batch, components, mix64, store, table, text_bytes
 
 SEED = 42
-# Longest run of equal blocks that is compared in one go; longer ones are split by further blocks first.
+# Longest run of equal blocks that is compared in one go; longer ones are split by further blocks first. Not below 16,
+# as so few distinct rows may be left where there are no more bits to split by.
 RUN = 2048
 CHUNK = 1 << 15
 # Byte -> its bits as the lowest bits of eight bytes, so that one addition counts eight bits.

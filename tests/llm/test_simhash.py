@@ -34,7 +34,7 @@ def test_fingerprints_and_groups(spark, sf, documents):
         assert got[doc] == (f"{fp:016x}", documents[group][0])
 
 
-@pytest.mark.parametrize("run", [4, 2048])
+@pytest.mark.parametrize("run", [16, 2048])
 def test_all_close_pairs_are_linked(spark, monkeypatch, run):
     """Random and crowded fingerprints; with short runs, blocks are split again and again."""
     monkeypatch.setattr(simhash, "RUN", run)
