@@ -24,8 +24,8 @@ from perigee.llm.common import arrow_map, batch, n_buckets, store, table, text_b
 
 CAPACITY = 4096
 END = 1
-# Words, and words without punctuation behind them, whose tokens a worker remembers.
-WORD_CACHE, STEM_CACHE = 400_000, 700_000
+# Words, and words without punctuation behind them, whose tokens a worker remembers: up to twice as many.
+WORD_CACHE, STEM_CACHE = 80_000, 120_000
 ASCII_PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 # Letters below have one form and one lower case; they are Latin.
 LATIN_END = "\u0250"
@@ -37,16 +37,21 @@ BUCKET = 100_000
 
 
 class Cache(dict):
-    """Values made on demand by a function; forgets all of them at a number of entries."""
+    """Values made on demand by a function. At a number of entries it starts anew; entries of the time before are kept
+    aside once, so those still in use come back without being made again."""
 
     def __init__(self, make: Callable[[bytes], bytes], limit: int):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.before = make, limit, {}
 
     def __missing__(self, key: bytes) -> bytes:
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.limit:
+            self.before = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        self[key] = value
         return value
 
 

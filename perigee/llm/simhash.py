@@ -27,7 +27,7 @@ SEED = 42
 # Longest run of equal blocks that is compared in one go; longer ones are split by further blocks first. Not below 16,
 # as so few distinct rows may be left where there are no more bits to split by.
 RUN = 2048
-CHUNK = 1 << 15
+CHUNK = 1 << 12
 # Byte -> its bits as the lowest bits of eight bytes, so that one addition counts eight bits.
 SPREAD = np.array([sum(((b >> i) & 1) << (8 * i) for i in range(8)) for b in range(256)], np.uint64)
 
