@@ -25,7 +25,7 @@ from perigee.llm.common import arrow_map, batch, n_buckets, store, table, text_b
 CAPACITY = 4096
 END = 1
 # Words, and words without punctuation behind them, whose tokens a worker remembers: up to twice as many.
-WORD_CACHE, STEM_CACHE = 80_000, 120_000
+WORD_CACHE, STEM_CACHE = 120_000, 180_000
 ASCII_PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 # Letters below have one form and one lower case; they are Latin.
 LATIN_END = "\u0250"
@@ -69,6 +69,7 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model
         self.words, self.stems = Cache(self._word, WORD_CACHE), Cache(self._stem, STEM_CACHE)
 
     @classmethod
@@ -83,6 +84,9 @@ class WordTokens:
 
     def _word(self, word: bytes) -> bytes:
         stem = word.rstrip(ASCII_PUNCTUATION)
+        if stem.isalpha():  # of bytes: ASCII letters alone
+            low = stem.lower()
+            return self.stems[low] if len(stem) == len(word) else self.stems[low] + self.stems[word[len(stem) :]]
         low = stem.decode("utf-8", "replace").lower()
         # Some capital's lower case is a letter and a mark, which is no letter.
         if not low.isalpha() or max(low) >= LATIN_END:
@@ -91,10 +95,13 @@ class WordTokens:
         return self.stems[low.encode()] + (self.stems[tail] if tail else b"")
 
     def _stem(self, word: bytes) -> bytes:
-        text = word.decode()
-        if not text.isalpha():
-            return self._whole(text)
-        ids = [t.id for t in self.tokenizer.model.tokenize(text.encode().decode("latin-1").translate(BYTE_LETTERS))]
+        if not word.isalpha():
+            if not word.decode().isalpha():
+                return self._whole(word.decode())
+            letters = word.decode("latin-1").translate(BYTE_LETTERS)
+        else:
+            letters = word.decode()
+        ids = [t.id for t in self.merges.tokenize(letters)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, raw: bytes) -> bytes:
