@@ -356,7 +356,9 @@ def similar_groups(docs: DataFrame, keep: list[str], id_col: str = "doc_id", shi
     linked = components(link_similar(fps, bits, count, n_words, similarity)).select(F.col("v").alias("fid"), "c")
     firsts = fps.select("fid", "best").join(linked, "fid", "left").groupBy(F.coalesce("c", "fid").alias("c")).agg(F.min("best").alias("best"))
     stay = store(firsts.select(F.col("best._uid").alias("_uid")))
-    return rows.drop("_fp").join(stay.withColumn("first", F.lit(True)), "_uid", "left").withColumn("first", F.coalesce("first", F.lit(False)))
+    # Joined by shuffle at every size: the table of rows that stay grows with the data, and one that is small enough to be
+    # sent to all tasks here would only hide what larger data costs.
+    return rows.drop("_fp").join(stay.withColumn("first", F.lit(True)).hint("merge"), "_uid", "left").withColumn("first", F.coalesce("first", F.lit(False)))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
