@@ -1,12 +1,14 @@
-"""Near-duplicates by SimHash: fingerprints, pigeonhole blocks, Hamming distances, groups.
+"""Near-duplicates: SimHash fingerprints within a few bits, and texts whose sets of shingles are similar.
 
-Two modes share the fingerprints. ``link_close`` finds all pairs of 64-bit fingerprints that differ in few bits, exactly:
-split into one block more than may differ, a close pair has an equal block. ``link_similar`` takes long fingerprints,
-whose share of differing bits measures the angle between two shingle sets, for similarities that 64 bits cannot tell;
-its blocks are as many as the similarity asked for needs.
+``link_close`` finds all pairs of 64-bit fingerprints that differ in few bits, exactly: split into one block more than
+may differ, a close pair has an equal block. Rows that share a block meet in one run of a sorted partition, and only a
+spanning forest of a run's links is passed on, never all its pairs.
 
-Equal fingerprints are one row before anything is joined. Rows that share a block meet in one run of a sorted
-partition, and only a spanning forest of a run's links is passed on, never all its pairs.
+``link_similar`` is for similarities that 64 bits cannot tell. Bands of minima of hashes propose pairs, as many bands as
+the recall at the similarity needs, and the shingle sets themselves decide on every pair. Nothing is gathered by band:
+pairs come from joins, and pairs that links already found make needless are not looked at.
+
+Equal fingerprints, or equal sets, are one row before anything is joined.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ SEED = 42
 # as so few distinct rows may be left where there are no more bits to split by.
 RUN = 2048
 CHUNK = 1 << 12
+# Minima of hashes that make a key; minima whose bits make a sketch; hashes taken at once; rounds of pairs with one text a key.
+BAND, SKETCH, MINIMA_CHUNK, STARS = 7, 128, 1 << 10, 2
 # Byte -> its bits as the lowest bits of eight bytes, so that one addition counts eight bits.
 SPREAD = np.array([sum(((b >> i) & 1) << (8 * i) for i in range(8)) for b in range(256)], np.uint64)
 
@@ -245,76 +249,119 @@ def link_close(fps: DataFrame, radius: int) -> DataFrame:
             return edges
 
 
-def differing_share(similarity: float) -> float:
-    """Of fingerprint bits of sets of one size: a Jaccard similarity s is a cosine of 2s / (1 + s), and bits differ by the angle."""
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+def band_count(similarity: float, recall: float) -> int:
+    """Bands of ``BAND`` minima so that a pair of the similarity has an equal one with the recall."""
+    return math.ceil(math.log(1 - recall) / math.log(1 - similarity**BAND))
 
 
-def estimated_similarity(x: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """Jaccard similarity of shingle sets from fingerprints with sizes: the angle gives the cosine, and it the shared shingles."""
-    differ = np.bitwise_count(others[:, :-1] ^ x[:-1]).sum(axis=1, dtype=np.int64)
-    cosine = np.cos(np.pi * differ / (64 * (len(x) - 1)))
-    size, sizes = float(x[-1]), others[:, -1].astype(np.float64)
-    shared = np.minimum(np.maximum(cosine, 0) * np.sqrt(size * sizes), np.minimum(size, sizes))
-    return shared / np.maximum(size + sizes - shared, 1)
+def minima(hashes: np.ndarray, count: int) -> np.ndarray:
+    """The smallest value of each of ``count`` hash functions over the set; two sets have equal ones as often as they are similar."""
+    seeds = mix64(np.arange(1, 2 * count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    factor, plus = (seeds[:count] | np.uint64(1))[:, None], seeds[count:][:, None]
+    least = np.full(count, 0xFFFFFFFFFFFFFFFF, np.uint64)
+    for at in range(0, len(hashes), MINIMA_CHUNK):
+        least = np.minimum(least, (factor * hashes[None, at : at + MINIMA_CHUNK] + plus).min(axis=1))
+    return least
 
 
-def block_plan(n: int, similarity: float, recall: float) -> tuple[int, int, int]:
-    """``(bits of a block, blocks, words of a fingerprint)`` so that a pair of the similarity shares a block with the recall."""
-    differ = differing_share(similarity)
-    bits = max(20, math.ceil(math.log2(max(n, 2))))
-    count = math.ceil(math.log(1 - recall) / math.log(1 - (1 - differ) ** bits))
-    return bits, count, math.ceil(bits * count / 64)
+def with_signatures(docs: DataFrame, keep: list[str], shingle: int, bands: int, text: str) -> DataFrame:
+    """``keep``; ``_set``, which names the set of shingles; ``_n``, its size; a sketch of a bit of each of 128 minima; a key per band.
 
+    A text without words has no keys.
+    """
+    count = max(bands * BAND, SKETCH)
 
-def link_similar(fps: DataFrame, bits: int, count: int, n_words: int, similarity: float) -> DataFrame:
-    """``(a, b)`` of a graph on ``(fid, fp)`` whose links are pairs with an equal block and, by distance and sizes, the similarity.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names, sizes = [], []
+            least = np.empty((b.num_rows, count), np.uint64)
+            for i, raw in enumerate(b.column(b.num_columns - 1).to_pylist()):
+                h = np.unique(shingle_hashes(raw, shingle))
+                names.append(xxhash.xxh3_128_digest(h.tobytes()))
+                sizes.append(len(h))
+                least[i] = minima(h, count)
+            sketch = np.packbits((mix64(least[:, :SKETCH]) & np.uint64(1)).astype(bool), axis=1).view(np.int64)
+            keys = np.arange(bands, dtype=np.uint64)[None, :] * np.ones((b.num_rows, 1), np.uint64)
+            for k in range(BAND):
+                keys = mix64(keys * np.uint64(0x9E3779B97F4A7C15) + least[:, k : bands * BAND : BAND])
+            some = np.array(sizes, np.int64) > 0
+            ends = np.concatenate([[0], np.cumsum(some * bands)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[some].ravel().view(np.int64)))
+            yield batch(
+                **{c: b.column(i) for i, c in enumerate(keep)}, _set=pa.array(names, pa.binary()), _n=pa.array(sizes, pa.int64()),
+                _s0=sketch[:, 0].copy(), _s1=sketch[:, 1].copy(), _keys=lists,
+            )
 
-    First, rows of (block, first 64 bits) find which rows have a likely partner in a block; few rows do. Only these meet
-    again with their whole fingerprints, where the distance decides.
-    """
-    weights = 1 << np.arange(bits, dtype=np.int64)
-    # A pair at the limit has this many differing bits among 64, give or take; four deviations more lose none in practice.
-    p = differing_share(similarity)
-    rough = math.ceil(64 * p + 4 * math.sqrt(64 * p * (1 - p)))
+    chosen = docs.select(*[F.col(c) for c in keep], text_bytes(text).alias("__text"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
+    return arrow_map(chosen, run, f"{fields}, _set binary, _n bigint, _s0 bigint, _s1 bigint, _keys array<bigint>")
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """``(fid, words)`` from ``(fid, raw)``: the distinct hashes of a text's shingles."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fid, fp = to_numpy(b.column(0)), to_numpy(b.column(1))
-            for at in range(0, len(fid), 500):
-                part = fp[at : at + 500]
-                own = np.unpackbits(np.ascontiguousarray(part).view(np.uint8), axis=1, bitorder="little")[:, : bits * count]
-                value = own.reshape(len(part), count, bits) @ weights
-                key = value + (np.arange(count, dtype=np.int64) << bits)[None, :]
-                yield batch(
-                    key=key.ravel(), fid=np.repeat(fid[at : at + 500], count), head=np.repeat(part[:, 0].view(np.int64), count)
-                )
-
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (key, head, fid), starts, is_long in sorted_runs(batches, 1, 64):
-            if is_long:
-                yield batch(key=key, fid=fid)
-                continue
-            x = head.view(np.uint64)
-            i, j = within(starts, len(x), 64 + 1, lambda i, j: np.bitwise_count(x[i] ^ x[j]) <= rough)
-            rows = np.union1d(i, j)
-            yield batch(key=key[rows], fid=fid[rows])
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, fid, fp), starts, _ in sorted_runs(batches, 1, 1 << 40):
-            edges = []
-            for s, e in zip(starts, np.append(starts[1:], len(fid))):
-                x = fp[s:e]
-                near = forest(e - s, lambda i, rest: estimated_similarity(x[i], x[rest]) >= similarity)
-                edges += [(int(fid[s + i]), int(fid[s + j])) for i, j in near]
-            a, b = np.array(edges, np.int64).reshape(-1, 2).T
-            yield batch(a=a, b=b)
-
-    dealt = arrow_map(fps.select("fid", "fp"), deal, "key bigint, fid bigint, head bigint")
-    dealt = dealt.repartition("key").sortWithinPartitions("key").select("key", "head", "fid")
-    meet = store(arrow_map(dealt, likely, "key bigint, fid bigint"))
-    full = meet.join(fps.select("fid", "fp"), "fid").repartition("key").sortWithinPartitions("key").select("key", "fid", "fp")
-    return arrow_map(full, verify, "a bigint, b bigint")
+            sets = [np.unique(shingle_hashes(raw, shingle)).view(np.int64) for raw in b.column(1).to_pylist()]
+            yield batch(fid=b.column(0), words=pa.array(sets, pa.list_(pa.int64())))
+
+    return arrow_map(texts.select("fid", "raw"), run, "fid bigint, words array<bigint>")
+
+
+def truly_similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``(a, b)`` whose sets of shingles have the similarity or more. Joined by shuffle at every size, as the sets grow with the data."""
+    both = pairs.join(sets.select(F.col("fid").alias("b"), F.col("words").alias("y")).hint("merge"), "b")
+    both = both.join(sets.select(F.col("fid").alias("a"), F.col("words").alias("x")).hint("merge"), "a")
+    sized = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("shared"), (F.size("x") + F.size("y")).alias("sizes"))
+    return sized.filter(F.col("shared") / (F.col("sizes") - F.col("shared")) >= similarity).select("a", "b")
+
+
+def link_similar(fps: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """``(a, b)`` of a graph on ``fid`` whose components are those of all pairs with an equal band key and, by their shingle sets, the similarity.
+
+    ``fps`` is (fid, n, s0, s1, keys), ``texts`` (fid, raw). Only pairs that may still join two components are verified:
+    first of each key's texts with one of them, drawn anew each time, and last, where a key's texts are still of several
+    components, of each text outside the largest with all of another component. Sizes and sketches rule out most of the
+    pairs below the similarity beforehand; a pair at the limit has so many differing bits in its sketch, and four
+    deviations more lose none in practice.
+    """
+    p = (1 - similarity) / 2
+    most = math.floor(SKETCH * p + 4 * math.sqrt(SKETCH * p * (1 - p)))
+    dealt = fps.select("fid", F.explode("keys").alias("key"))
+    shared = dealt.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1").select("key")
+    meet = store(dealt.join(shared.hint("merge"), "key"))
+    sets = store(shingle_sets(marked(texts, "fid", meet.select("fid"), "wanted").filter("wanted"), shingle))
+    points = fps.select("fid", "n", "s0", "s1")
+
+    def labelled(edges: DataFrame | None) -> DataFrame:
+        if edges is None:
+            return meet.join(points.withColumn("c", F.col("fid")), "fid")
+        return meet.join(points.join(components(edges).withColumnRenamed("v", "fid"), "fid", "left").withColumn("c", F.coalesce("c", "fid")), "fid")
+
+    def proposed(rows: DataFrame, other: str) -> DataFrame:
+        bits = sum(F.bit_count(F.col(s).bitwiseXOR(F.col(f"{other}.{s}"))) for s in ("s0", "s1"))
+        sizes = F.least("n", f"{other}.n") >= similarity * F.greatest("n", f"{other}.n")
+        rows = rows.filter((F.col("c") != F.col(f"{other}.c")) & sizes & (bits <= most))
+        return rows.select(F.least("fid", f"{other}.fid").alias("a"), F.greatest("fid", f"{other}.fid").alias("b")).distinct()
+
+    point = F.struct("fid", "n", "s0", "s1", "c")
+    edges, tested = None, None
+    for turn in range(STARS + 1):
+        rows = labelled(edges)
+        if turn < STARS:
+            drawn = rows.groupBy("key").agg(
+                F.min_by(point, F.xxhash64("fid", F.lit(turn))).alias("o"), F.min("c").alias("low"), F.max("c").alias("high")
+            ).filter("low < high").select("key", "o")
+            pairs = proposed(rows.join(drawn, "key"), "o")
+        else:
+            counts = rows.groupBy("key", "c").agg(F.count("*").alias("rows"))
+            mixed = counts.groupBy("key").agg(F.max_by("c", F.struct("rows", "c")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
+            rows = store(rows.join(mixed.select("key", "top"), "key"))
+            pairs = proposed(rows.join(rows.filter("c <> top").select("key", point.alias("o")), "key"), "o")
+        pairs = store(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+        found = store(truly_similar(pairs, sets, similarity))
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        edges = found if edges is None else edges.unionByName(found)
+    return edges
 
 
 def close_groups(docs: DataFrame, id_col: str = "doc_id", shingle: int = 3, radius: int = 3, text: str = "text") -> DataFrame:
@@ -342,23 +389,37 @@ def signed_long(fp: str):
     return value
 
 
-def similar_groups(docs: DataFrame, keep: list[str], id_col: str = "doc_id", shingle: int = 5, similarity: float = 0.8, recall: float = 0.95, text: str = "text") -> DataFrame:
+def marked(rows: DataFrame, id_col: str, chosen: DataFrame, name: str) -> DataFrame:
+    """``rows`` with ``name``: whether the row's number, of at least zero, is among those of ``chosen``.
+
+    The numbers travel as bits, 32,768 to a row, so texts need not be shuffled to meet them.
+    """
+    number = F.col(id_col) + 1
+    bits = store(chosen.groupBy(F.bitmap_bucket_number(number).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("_bits")))
+    at = f"bitmap_bit_position(`{id_col}` + 1)"
+    byte = f"cast(conv(hex(substring(_bits, cast({at} div 8 as int) + 1, 1)), 16, 10) as int)"
+    joined = rows.withColumn("_bucket", F.bitmap_bucket_number(number)).join(bits, "_bucket", "left")
+    return joined.withColumn(name, F.expr(f"coalesce((shiftright({byte}, cast({at} % 8 as int)) & 1) = 1, false)")).drop("_bucket", "_bits")
+
+
+def similar_groups(docs: DataFrame, keep: list[str], id_col: str = "doc_id", shingle: int = 5, similarity: float = 0.8, recall: float = 0.99, text: str = "text") -> DataFrame:
     """``keep``, ``_uid`` and ``first``: whether a row stays as the one of its group of texts of the similarity or more.
 
-    The share of differing bits of long fingerprints over distinct shingles decides, within about 0.02 of the similarity. Of equal identifiers or rows in a
-    group one row stays. Texts without words form one group.
+    Texts are linked only if their sets of shingles, compared exactly, have the similarity; of pairs at exactly the
+    similarity the share ``recall`` is found, of more similar ones more. Of equal identifiers or rows in a group one row
+    stays. Texts without words form one group.
     """
-    bits, count, n_words = block_plan(docs.count(), similarity, recall)
-    rows = with_fingerprints(docs.withColumn("_t", F.col(text)), [*keep, *([] if id_col in keep else [id_col])], shingle, n_words, True, "_t")
+    more = [c for c in dict.fromkeys([id_col, text]) if c not in keep]
+    rows = with_signatures(docs, [*keep, *more], shingle, band_count(similarity, recall), text)
     rows = store(rows.withColumn("_uid", F.monotonically_increasing_id()))
     best = F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), F.col("_uid"))).alias("best")
-    fps = store(rows.groupBy(F.col("_fp").alias("fp")).agg(best).withColumn("fid", F.monotonically_increasing_id()))
-    linked = components(link_similar(fps, bits, count, n_words, similarity)).select(F.col("v").alias("fid"), "c")
+    parts = [F.first(f"_{c}").alias(c) for c in ("n", "s0", "s1", "keys")]
+    fps = store(rows.groupBy("_set").agg(best, *parts).withColumn("fid", F.col("best._uid")).drop("_set"))
+    texts = rows.select(F.col("_uid").alias("fid"), text_bytes(text).alias("raw"))
+    linked = components(link_similar(fps, texts, shingle, similarity)).select(F.col("v").alias("fid"), "c")
     firsts = fps.select("fid", "best").join(linked, "fid", "left").groupBy(F.coalesce("c", "fid").alias("c")).agg(F.min("best").alias("best"))
-    stay = store(firsts.select(F.col("best._uid").alias("_uid")))
-    # Joined by shuffle at every size: the table of rows that stay grows with the data, and one that is small enough to be
-    # sent to all tasks here would only hide what larger data costs.
-    return rows.drop("_fp").join(stay.withColumn("first", F.lit(True)).hint("merge"), "_uid", "left").withColumn("first", F.coalesce("first", F.lit(False)))
+    stay = firsts.select(F.col("best._uid").alias("_uid"))
+    return marked(rows.drop("_set", "_n", "_s0", "_s1", "_keys", *[c for c in more if c != id_col]), "_uid", stay, "first")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

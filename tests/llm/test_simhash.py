@@ -94,3 +94,51 @@ def test_odd_rows(odd, nothing):
     stay = [r["doc_id"] for r in similar_groups(odd, ["doc_id", "_text"]).collect() if r["first"]]
     assert sorted(stay) == [1, 4, 5, 7, 8, 10]
     assert similar_groups(nothing, ["doc_id"]).collect() == []
+
+
+def test_pairs_at_the_limit_are_told_exactly(spark):
+    """Pairs of 0.74 to 0.86: none below 0.8 is linked, and of those from 0.8 on 0.99 are found at least."""
+    rng = np.random.default_rng(11)
+    rows, similar = [], {}
+    for g in range(1500):
+        words = [f"v{i}" for i in rng.integers(0, 1 << 30, 236)]
+        copy = list(words)
+        # The last k words changed are k of 232 shingles: 18 give 0.86, 25 give 0.805, 26 give 0.798, 35 give 0.74.
+        k = int(rng.integers(18, 36))
+        copy[236 - k :] = [f"u{i}" for i in rng.integers(0, 1 << 30, k)]
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(copy))]
+        a, b = ({tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in (words, copy))
+        similar[2 * g + 1] = len(a & b) / len(a | b)
+    out = similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), ["doc_id"]).collect()
+    dropped = {r["doc_id"] for r in out if not r["first"]}
+    near = {d for d, s in similar.items() if s >= 0.8}
+    limit = {d for d in near if similar[d] < 0.82}
+    assert len(limit) > 150 and len(similar) - len(near) > 500
+    assert dropped <= near and len(near - dropped) <= 0.01 * len(near) and len(limit - dropped) <= 0.03 * len(limit)
+
+
+def test_groups_of_chained_copies_match_brute_force(spark):
+    """A crowd around one text, whose members are similar to some and not to others: components of all true pairs, none other."""
+    rng = np.random.default_rng(12)
+    base = [f"b{i}" for i in range(204)]
+    texts = [base]
+    for g in range(150):
+        words = list(texts[int(rng.integers(0, len(texts)))])
+        for at in rng.choice(204, int(rng.integers(2, 9)), replace=False):
+            words[at] = f"c{g}x{at}"
+        texts.append(words)
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    label = list(range(len(texts)))
+
+    def root(v):
+        while label[v] != v:
+            v = label[v]
+        return v
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8:
+                label[max(root(i), root(j))] = min(root(i), root(j))
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    stay = {r["doc_id"] for r in similar_groups(df, ["doc_id"], recall=0.9999).collect() if r["first"]}
+    assert stay == {root(i) for i in range(len(texts))} and 1 < len(stay) < len(texts) - 10
