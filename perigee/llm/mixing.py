@@ -20,7 +20,6 @@ TOLERANCE = 1e-9
 SNAP = 1e-7
 # Keys are hashes of 40 bits divided by the rate's fraction; words are summed by their bits above these.
 FIRST_BITS, SECOND_BITS = 28, 16
-FILL_ROUNDS = 4
 
 
 def word_count(text: Column) -> Column:
@@ -85,16 +84,13 @@ def balanced_rates(groups: DataFrame, max_copies: float) -> DataFrame:
     return state.drop("low", "high")
 
 
-def rounding_cuts(rows: DataFrame) -> DataFrame:
-    """``(g, cut, fills)``: a document takes one copy more if its key is at most the cut or among the fills.
+def prefix_cuts(free: DataFrame, need: DataFrame) -> DataFrame:
+    """``(g, cut)`` for each group of ``need`` (g, need): the documents of ``free`` (g, size, key) with keys up to the cut
+    have at most the needed words, and those with the next key would have more.
 
-    ``rows`` is (g, size, whole, key, target). Keys order a group's documents pseudo-randomly and equal rows share one.
-    Words are summed by the leading bits of the key, then by the next bits in the part where the sum passes what the
-    whole parts leave of the target, then in order inside that small part. Last, the largest documents that still fit
-    are added, one by one.
+    Words are summed by the leading bits of the key, then by the next bits in the part where the sum passes the need,
+    then in order inside that small part.
     """
-    need = store(rows.groupBy("g").agg((F.first("target") - F.sum(F.col("whole") * F.col("size"))).alias("need")))
-    free = rows.filter("key is not null and size > 0").select("g", "size", "key")
     # Below `low` (a bin of the current width) all keys are taken, which gives `taken` words.
     state = need.withColumn("low", F.lit(None).cast("long")).withColumn("taken", F.lit(0.0))
     for bits in (FIRST_BITS, SECOND_BITS):
@@ -112,18 +108,38 @@ def rounding_cuts(rows: DataFrame) -> DataFrame:
     last = inside.withColumn("after", after).filter("after <= need").groupBy("g").agg(F.max("key").alias("key"))
     # A group that never passes its need takes every document.
     cut = F.coalesce("key", F.shiftleft("low", SECOND_BITS) - 1, F.lit((1 << 62)))
-    cuts = store(state.join(last, "g", "left").select("g", "need", cut.alias("cut"), F.lit(None).cast("array<bigint>").alias("fills")))
-    for _ in range(FILL_ROUNDS):
-        placed = free.join(cuts, "g")
-        extra = (F.col("key") <= F.col("cut")) | F.coalesce(F.array_contains("fills", F.col("key")), F.lit(False))
-        left = placed.groupBy("g").agg((F.first("need") - F.sum(F.when(extra, F.col("size")).otherwise(0))).alias("left"))
-        fits = placed.filter(~extra).groupBy("g", "key").agg(F.sum("size").alias("s")).join(left, "g").filter("s <= left")
-        best = store(fits.groupBy("g").agg(F.max_by("key", F.struct("s", "key")).alias("add")))
-        if not best.limit(1).count():
+    return store(state.join(last, "g", "left").select("g", cut.alias("cut")))
+
+
+def rounding_cuts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(g, cut)`` and ``(g, key)`` of fills: a document takes one copy more if its key is at most the cut or among the fills.
+
+    ``rows`` is (g, size, whole, key, target). Keys order a group's documents pseudo-randomly and equal rows share one.
+    The first cut stops where the next document is too large for what the whole parts leave of the target. What is
+    still needed goes to documents behind it that are small enough, cut in the same order, until none fits. Fills
+    together have fewer words than the document at the first cut.
+    """
+    need = store(rows.groupBy("g").agg((F.first("target") - F.sum(F.col("whole") * F.col("size"))).alias("need")))
+    free = rows.filter("key is not null and size > 0").select("g", "size", "key")
+    cuts = prefix_cuts(free, need)
+    placed = free.join(cuts, "g")
+    got = placed.filter("key <= cut").groupBy("g").agg(F.sum("size").alias("got"))
+    need = store(need.join(got, "g", "left").select("g", (F.col("need") - F.coalesce("got", F.lit(0))).alias("need")))
+    behind = placed.filter("key > cut").groupBy("g", "key").agg(F.sum("size").alias("size"))
+    fills = None
+    while True:
+        # What does not fit now never will, as the need only falls.
+        behind = store(behind.join(need, "g").filter("size <= need").select("g", "size", "key"))
+        if not behind.limit(1).count():
             break
-        grown = F.when(F.col("add").isNull(), F.col("fills")).otherwise(F.concat(F.coalesce("fills", F.array().cast("array<bigint>")), F.array("add")))
-        cuts = store(cuts.join(best, "g", "left").select("g", "need", "cut", grown.alias("fills")))
-    return cuts.select("g", "cut", "fills")
+        # Groups where nothing fits are left out.
+        placed = behind.join(prefix_cuts(behind, need.join(behind.select("g").distinct(), "g", "left_semi")), "g")
+        add = store(placed.filter("key <= cut").select("g", "size", "key"))
+        fills = add if fills is None else fills.unionByName(add)
+        got = add.groupBy("g").agg(F.sum("size").alias("got"))
+        need = store(need.join(got, "g").select("g", (F.col("need") - F.col("got")).alias("need")))
+        behind = placed.filter("key > cut").select("g", "size", "key")
+    return cuts, behind.select("g", "key") if fills is None else store(fills.select("g", "key"))
 
 
 def mix(
@@ -134,8 +150,8 @@ def mix(
 
     ``base`` are rates to stay close to (1 by default, nulls and negative ones count as 0). A null source is a source of
     its own and a null text has no words. Repeated rows get equal copies. Documents without words take the whole part
-    of their rate. The table by source is joined by Spark's choice: sent to all tasks if small, else shuffled with hot
-    sources split.
+    of their rate. The tables by source and of fills are joined by Spark's choice: sent to all tasks if small, else
+    shuffled with hot sources split.
     """
     group = F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("null"))
     rate = F.lit(1.0) if base is None else F.greatest(F.coalesce(base, F.lit(0.0)), F.lit(0.0))
@@ -161,13 +177,14 @@ def mix(
         )
 
     plan = store(plan)
-    cuts = rounding_cuts(store(rounded(slim).select(
+    cuts, fills = rounding_cuts(store(rounded(slim).select(
         F.col("_g").alias("g"), F.col("_size").alias("size"), F.col("_whole").alias("whole"), F.col("_key").alias("key"), "target"
     )))
     plan = store(plan.join(cuts, "g", "left"))
-    extra = (F.col("_key") <= F.col("cut")) | F.coalesce(F.array_contains("fills", F.col("_key")), F.lit(False))
-    extra = F.when(F.col("_size") > 0, F.coalesce(extra, F.lit(False)).cast("long")).otherwise(0)
-    return rounded(sized).select(
+    fills = fills.select(F.col("g").alias("_g"), F.col("key").alias("_key"), F.lit(True).alias("_fill"))
+    extra = F.coalesce(F.col("_key") <= F.col("cut"), F.lit(False)) | F.coalesce("_fill", F.lit(False))
+    extra = F.when(F.col("_size") > 0, extra.cast("long")).otherwise(0)
+    return rounded(sized).join(fills, ["_g", "_key"], "left").select(
         *keep, F.col("_size").alias("size"), "source_size", "target", (F.col("_whole") + extra).alias("copies"),
     )
 

@@ -58,3 +58,44 @@ def test_odd_rows(odd, nothing):
     assert {r["size"] for r in rows if r["doc_id"] in (1, 2, 3)} == {0}
     assert len({(r["doc_id"], r["copies"]) for r in rows if r["doc_id"] == 5}) == 1
     assert mix(nothing, ["doc_id"]).collect() == []
+
+
+def shortfalls(rows):
+    """By source: what is missing of the target, and the smallest document that could still be taken once more."""
+    missing, smallest = {}, {}
+    for r in rows:
+        g = r["source"]
+        missing[g] = missing.get(g, r["target"]) - r["copies"] * r["size"]
+    for r in rows:
+        if 0 < r["size"] and r["copies"] < r["most"]:
+            smallest[r["source"]] = min(smallest.get(r["source"], r["size"]), r["size"])
+    return missing, smallest
+
+
+def test_a_long_document_at_the_cut_leaves_no_need_open(spark):
+    """Sources of 150 short documents and one as long as all of them: short ones behind the long one fill the target."""
+    rows = [(g * 1000 + i, "w " * (4000 if i == 150 else 10 + (7 * i + g) % 31), f"s{g:02}") for g in range(12) for i in range(151)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    out = mix(df, ["doc_id", "source"], share=0.5, weights=(1.0,)).withColumn("most", F.lit(1)).collect()
+    missing, smallest = shortfalls(out)
+    assert all(r["copies"] in (0, 1) for r in out)
+    assert {r["source"]: r["target"] for r in out}.keys() == missing.keys()
+    for g, left in missing.items():
+        assert -1e-6 <= left < smallest[g]
+
+
+def test_repeated_rows_fill_together_or_not(spark):
+    rows = [(i // 2, "w " * (5 + (i // 2) % 40), "a") for i in range(300)] + [(1000, "w " * 3000, "a"), (2000, None, "a")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    out = mix(df, ["doc_id", "source"], share=0.5).collect()
+    copies = defaultdict(set)
+    for r in out:
+        copies[r["doc_id"]].add(r["copies"])
+    assert len(out) == len(rows) and all(len(c) == 1 for c in copies.values())
+    left = out[0]["target"] - sum(r["size"] * r["copies"] for r in out)
+    assert -1e-6 <= left < min(2 * r["size"] for r in out if r["copies"] == 0 and r["size"] and r["doc_id"] != 1000)
+
+
+def test_total_within_two_hundredths(spark, sf):
+    rows = op1_entropy_mix(spark, sf).collect()
+    assert sum(r["taken"] for r in rows) == pytest.approx(1.5 * sum(r["size"] for r in rows), rel=0.02)
