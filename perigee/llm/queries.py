@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators; each derives the columns of its contract from the operator's output."""
+"""The registered queries of the operators; each derives the columns of its contract from the operator's output."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("mixing", "simhash", "quality", "packing", "scoring", "chat", "repeats", "warc", "rules", "vectors")
+MODULES = ("mixing", "simhash", "quality", "packing", "scoring", "chat", "repeats", "warc", "rules", "vectors", "spelling")
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
