@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("mixing", "simhash", "quality", "packing", "scoring", "chat", "repeats", "warc", "rules", "vectors", "spelling", "prefix_trie")
+MODULES = ("mixing", "simhash", "quality", "packing", "scoring", "chat", "repeats", "warc", "rules", "vectors", "spelling", "personal", "prefix_trie")
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
