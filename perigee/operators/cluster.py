@@ -12,10 +12,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perigee.operators.graph import communities, components, spanning_forest
+from perigee.operators.graph import communities, spanning_forest
+from perigee.operators.hierarchy import hierarchy_labels
 from perigee.operators.metrics import cluster_quality
 from perigee.operators.neighbours import knn_graph, knn_join
-from perigee.session import cut_lineage, small_table
+from perigee.session import cut_lineage
 
 N_CLASSES = 13
 NOISE = -1
@@ -47,17 +48,11 @@ def community_clusters(df: DataFrame, id_col: str, vec: str, k: int = 10, out: s
     return df.join(named, id_col, "left").withColumn(out, F.coalesce(F.col(out), F.col(id_col)))
 
 
-def density_clusters(
-    df: DataFrame, id_col: str, vec: str, min_size: int = 30, levels: int = 24, out: str = "density"
-) -> DataFrame:
-    """Density clusters with noise -1 and no preset number of clusters.
+def mutual_reachability_forest(df: DataFrame, id_col: str, vec: str, min_size: int = 30) -> DataFrame:
+    """Minimum spanning forest ``(src, dst, w)`` of the neighbour graph under mutual reachability.
 
-    Core distance is the distance to the ``min_size``-th neighbour; an edge weighs the larger of both core distances
-    and its length; the minimum spanning forest of the neighbour graph carries the hierarchy. The hierarchy is cut at
-    ``levels`` weights taken from quantiles of the forest, all cuts at once. Components of at least ``min_size`` rows
-    are the clusters of a cut. A cluster lives on while a tighter cut leaves one such component, and ends when it
-    splits or dissolves; clusters with the most stability, size times growth of density over their life, are chosen
-    so that none contains another. Approximate: edges reach the nearest neighbours only, and density moves in steps.
+    Core distance is the distance to the ``min_size``-th neighbour; an edge weighs the largest of both core distances and
+    its length.
     """
     edges = cut_lineage(knn_join(df, id_col, vec, min_size))
     core = cut_lineage(edges.groupBy("id").agg(F.max("dist").alias("core")))
@@ -66,91 +61,19 @@ def density_clusters(
         .select(F.least("id", "nbr").alias("src"), F.greatest("id", "nbr").alias("dst"), F.greatest("core", "other", "dist").alias("w"))
         .distinct()
     )
-    forest = cut_lineage(spanning_forest(weighed))
-    probes = [(i + 1) / levels for i in range(levels)]
-    found = forest.agg(F.percentile_approx("w", probes, 10_000).alias("t")).first()["t"] or []
-    cuts = sorted({t for t in found if t > 0}, reverse=True)  # loosest first
-    if not cuts:
-        return df.withColumn(out, F.lit(NOISE).cast("bigint"))
-    # Level 0 is the loosest cut and joins each tree of the forest.
-    table = df.sparkSession.createDataFrame(
-        [(i, float(t), 1.0 / t - (1.0 / cuts[i - 1] if i else 0.0)) for i, t in enumerate(cuts)],
-        "level int, cut double, step double",
-    )
-    layered = forest.withColumn("level", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("level"), F.lit(float(t)).alias("cut")) for i, t in enumerate(cuts)
-    ]))).filter(F.col("w") <= F.col("level.cut")).select("level.level", "src", "dst")
-    member = components(layered, ["level"])
-    sizes = member.groupBy("level", "c").agg(F.count("*").alias("n")).filter(F.col("n") >= min_size)
-    # A component is named by its smallest vertex; its parent is that vertex's component one level up.
-    above = member.select((F.col("level") + 1).alias("level"), F.col("v").alias("c"), F.col("c").alias("pc"))
-    nodes = cut_lineage(sizes.join(above, ["level", "c"], "left").join(small_table(table), "level"))
-    born = nodes.groupBy("level", "pc").agg(F.count("*").alias("siblings")).filter("pc is not null")
-    tree = nodes.join(born, ["level", "pc"], "left").withColumn(
-        "birth", F.col("pc").isNull() | (F.col("siblings") > 1)
-    )
-    tree = cut_lineage(tree.select("level", "c", "pc", "n", "step", "birth"))
-    # Each node belongs to its nearest ancestor-or-self that is a birth: carried down level by level.
-    owner = tree.filter("level = 0").select("level", "c", F.col("level").alias("bl"), F.col("c").alias("bc"))
-    frontier = owner
-    parts = [owner]
-    for i in range(1, len(cuts)):
-        here = tree.filter(F.col("level") == i)
-        up = frontier.select(F.col("c").alias("pc"), F.col("bl").alias("pbl"), F.col("bc").alias("pbc"))
-        frontier = here.join(up, "pc", "left").select(
-            "level", "c", F.when(F.col("birth"), F.col("level")).otherwise(F.col("pbl")).alias("bl"),
-            F.when(F.col("birth"), F.col("c")).otherwise(F.col("pbc")).alias("bc"),
-        )
-        if i % 4 == 0:
-            frontier = cut_lineage(frontier)
-        parts.append(frontier)
-    owner = cut_lineage(reduce(DataFrame.unionByName, parts))
-    owned = tree.join(owner, ["level", "c"])
-    # Rows at a cut times the density gained since the looser one, over the cuts at which the cluster lives.
-    stability = owned.groupBy("bl", "bc").agg(F.sum(F.col("n") * F.col("step")).alias("own"))
-    parent_of = owned.filter(F.col("birth") & F.col("pc").isNotNull()).select(
-        F.col("level").alias("bl"), F.col("c").alias("bc"), (F.col("level") - 1).alias("level"), F.col("pc").alias("c")
-    ).join(owner.select("level", "c", F.col("bl").alias("pbl"), F.col("bc").alias("pbc")), ["level", "c"])
-    clusters = cut_lineage(stability.join(parent_of.select("bl", "bc", "pbl", "pbc"), ["bl", "bc"], "left"))
-    chosen = _most_stable(clusters)
-    picked = member.join(
-        chosen.select(F.col("bl").alias("level"), F.col("bc").alias("c")), ["level", "c"]
-    ).select(F.col("v").alias(id_col), F.col("c").alias(out))
-    return df.join(picked, id_col, "left").withColumn(out, F.coalesce(F.col(out), F.lit(NOISE)).cast("bigint"))
-
-
-def _most_stable(clusters: DataFrame) -> DataFrame:
-    """Antichain of clusters ``(bl, bc)`` with the largest total stability; a root is chosen only when it never splits."""
-    levels = sorted((r["bl"] for r in clusters.select("bl").distinct().collect()), reverse=True)  # one per cut
-    if not levels:
-        return clusters.select("bl", "bc")
-    done, gained = [], None
-    for level in levels:
-        here = clusters.filter(F.col("bl") == level)
-        if gained is not None:
-            below = gained.groupBy(F.col("pbl").alias("bl"), F.col("pbc").alias("bc")).agg(F.sum("value").alias("below"))
-            here = here.join(below, ["bl", "bc"], "left")
-        else:
-            here = here.withColumn("below", F.lit(None).cast("double"))
-        keep = F.col("below").isNull() | (F.col("pbl").isNotNull() & (F.col("own") >= F.col("below")))
-        here = cut_lineage(here.withColumn("keep", keep).withColumn(
-            "value", F.when(F.col("keep"), F.col("own")).otherwise(F.col("below"))
-        ))
-        done.append(here)
-        gained = here if gained is None else gained.unionByName(here)
-    picks, covered = [], None
-    for here in reversed(done):  # from the roots down: below a chosen cluster nothing else is chosen
-        if covered is None:
-            state = here.select("bl", "bc", "keep", F.lit(False).alias("inside"))
-        else:
-            state = here.join(covered, ["pbl", "pbc"], "left").select(
-                "bl", "bc", "keep", F.coalesce("inside", F.lit(False)).alias("inside")
-            )
-        state = cut_lineage(state)
-        picks.append(state.filter(F.col("keep") & ~F.col("inside")).select("bl", "bc"))
-        now = state.select(F.col("bl").alias("pbl"), F.col("bc").alias("pbc"), (F.col("inside") | F.col("keep")).alias("inside"))
-        covered = now if covered is None else covered.unionByName(now)
-    return reduce(DataFrame.unionByName, picks)
+    return cut_lineage(spanning_forest(weighed))
+
+
+def density_clusters(df: DataFrame, id_col: str, vec: str, min_size: int = 30, out: str = "density") -> DataFrame:
+    """Density clusters with noise -1 and no preset number of clusters.
+
+    The spanning forest under mutual reachability is merged edge by edge, condensed to clusters of at least ``min_size``
+    rows, and the most stable of these are chosen, none inside another (see ``hierarchy``). A cluster is named by its
+    smallest key. The one approximation is that edges reach the ``min_size`` nearest neighbours only.
+    """
+    labels = hierarchy_labels(mutual_reachability_forest(df, id_col, vec, min_size), min_size)
+    named = labels.select(F.col("v").alias(id_col), F.col("label").alias(out))
+    return df.join(named, id_col, "left").withColumn(out, F.coalesce(F.col(out), F.lit(NOISE)).cast("bigint"))
 
 
 def compare(df: DataFrame, truth: str, label_cols: Mapping[str, str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perigee.session import small_table
+from perigee.session import cut_lineage, small_table
 
 # Rows one window task should sort at most when buckets are filled evenly.
 BUCKET_ROWS = 200_000
@@ -67,6 +67,20 @@ def hash_rank(
     )
 
 
+def global_rank(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
+    """Adds rank 1..n in the order of columns that tell rows apart: ranges are ranked each for itself, and counts of ranges
+    before them, one row a range, are added."""
+    placed = cut_lineage(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    before, rows = 0, []
+    for r in placed.groupBy("_range").count().orderBy("_range").collect():
+        rows.append((r["_range"], before))
+        before += r["count"]
+    offsets = df.sparkSession.createDataFrame(rows, "_range int, _before bigint")
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return placed.withColumn(out, inside).join(F.broadcast(offsets), "_range").withColumn(
+        out, F.col(out) + F.col("_before")).drop("_range", "_before")
+
+
 def hash_segments(
     df: DataFrame, by: str, id_col: str, salt: str, cuts: DataFrame, names: Sequence[str], rest: str | None = None,
     n_rows: int | None = None,
