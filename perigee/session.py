@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,8 +47,36 @@ def shared_dir(spark: SparkSession) -> str:
     return configured
 
 
+_SCOPE: ContextVar[str | None] = ContextVar("scratch scope", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/perigee/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, inside the innermost open ``scratch_scope`` of this thread."""
+    base = _SCOPE.get() or f"{shared_dir(spark).rstrip('/')}/perigee"
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Deletes a table that ``scratch_path`` named."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside are deleted at the end, and shuffles of frames that are gone are given back.
+
+    Frames made inside must not be used afterwards; results to keep are written to a path named outside.
+    """
+    path = scratch_path(spark, "scope")
+    token = _SCOPE.set(path)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        drop_scratch(spark, path)
+        gc.collect()
+        spark._jvm.System.gc()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
