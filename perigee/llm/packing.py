@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from codecs import charmap_decode
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -24,14 +25,17 @@ from perigee.llm.common import arrow_map, batch, n_buckets, store, table, text_b
 
 CAPACITY = 4096
 END = 1
-# Words, and words without punctuation behind them, whose tokens a worker remembers: up to twice as many.
-WORD_CACHE, STEM_CACHE = 120_000, 180_000
+# Words whose tokens a worker remembers: up to twice as many.
+WORD_CACHE = 300_000
+# How the tokenizer's special tokens begin.
+SPECIAL = b"<|"
 ASCII_PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 # Letters below have one form and one lower case; they are Latin.
 LATIN_END = "\u0250"
 # How byte-level vocabularies write bytes as characters: printable ones as themselves, the others in order from 256.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
-BYTE_LETTERS = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_OTHERS = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+BYTE_LETTERS = "".join(_OTHERS.get(b, chr(b)) for b in range(256))
 # Pieces of one length and bucket that one task numbers.
 BUCKET = 100_000
 
@@ -70,7 +74,7 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = self.tokenizer.model
-        self.words, self.stems = Cache(self._word, WORD_CACHE), Cache(self._stem, STEM_CACHE)
+        self.words = Cache(self._word, WORD_CACHE)
 
     @classmethod
     def of(cls, path: str) -> WordTokens:
@@ -83,29 +87,31 @@ class WordTokens:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: bytes) -> bytes:
+        if word.isalpha():  # of bytes: ASCII letters alone
+            return self._letters(word.lower().decode())
         stem = word.rstrip(ASCII_PUNCTUATION)
-        if stem.isalpha():  # of bytes: ASCII letters alone
-            low = stem.lower()
-            return self.stems[low] if len(stem) == len(word) else self.stems[low] + self.stems[word[len(stem) :]]
+        if stem.isalpha():
+            return self.words[stem] + self.words[word[len(stem) :]]
         low = stem.decode("utf-8", "replace").lower()
         # Some capital's lower case is a letter and a mark, which is no letter.
         if not low.isalpha() or max(low) >= LATIN_END:
             return self._whole(word.decode("utf-8", "replace"))
-        tail = word[len(stem) :]
-        return self.stems[low.encode()] + (self.stems[tail] if tail else b"")
-
-    def _stem(self, word: bytes) -> bytes:
-        if not word.isalpha():
-            if not word.decode().isalpha():
-                return self._whole(word.decode())
-            letters = word.decode("latin-1").translate(BYTE_LETTERS)
-        else:
-            letters = word.decode()
+        if len(stem) == len(word):
+            return self._letters(charmap_decode(low.encode(), "strict", BYTE_LETTERS)[0])
+        return self.words[stem] + self.words[word[len(stem) :]]
+
+    def _letters(self, letters: str) -> bytes:
         ids = [t.id for t in self.merges.tokenize(letters)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, raw: bytes) -> bytes:
-        """The text's token ids as little-endian unsigned 32-bit numbers."""
+        """The text's token ids as little-endian unsigned 32-bit numbers.
+
+        The tokenizer takes A-Z as a-z, so texts are looked up in lower case and fewer words are new. Only its special
+        tokens are written in one case.
+        """
+        if SPECIAL not in raw:
+            raw = raw.lower()
         return b"".join(map(self.words.__getitem__, raw.split()))
 
 
