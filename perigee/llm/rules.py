@@ -111,10 +111,15 @@ def apply_rules(docs: DataFrame, keep: list[str], host: str = "source", text: st
     own counts alone. Hosts are joined back by Spark's choice of join: a small host table is sent to all tasks, a large
     one is shuffled, where skewed hosts are split.
     """
-    stats = document_stats(docs.withColumn("_host", F.col(host)), [*keep, "_host"], text)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    stats = store(stats.withColumn("base_failed", failed))
-    rates = store(host_rates(stats, "_host", "base_failed"))
+    hosted = docs.withColumn("_host", F.col(host))
+    stats = document_stats(hosted, [*keep, "_host"], text).withColumn("base_failed", failed)
+    if text in keep:
+        # Texts are not stored to join a host's verdict; their counts are made again.
+        rates = store(host_rates(document_stats(hosted, ["_host"], text).select("_host", failed.alias("base_failed")), "_host", "base_failed"))
+    else:
+        stats = store(stats)
+        rates = store(host_rates(stats, "_host", "base_failed"))
     return (
         stats.join(rates.select("_host", "host_rate"), "_host", "left")
         .withColumn("kept", ~F.col("base_failed") & (F.coalesce("host_rate", F.lit(0.0)) <= max_host_rate))
