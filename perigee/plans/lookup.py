@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from perigee.functions.text import explain_column
+from perigee.operators import name_search as ns
 from perigee.operators import resolve as rs
 from perigee.operators import scoring
 from perigee.plans.population import rounded, split_columns
 from perigee.plans.registry import query, table
+from perigee.session import scratch_path
 
 # Parts play the names dimension. Every part also sends one request: its key, name, designation, a piece of its full
 # name, a name with a lost letter, one with swapped letters, a blank or nonsense.
@@ -108,6 +110,58 @@ def resolve_identifiers(spark, sf_dir):
     )
 
 
+_RELEVANCE = f"""{_BASE},
+    asked AS (SELECT q FROM queries WHERE q NOT IN (SELECT q FROM hits)),
+    fields AS (SELECT spkid, 'name' AS field, 2.0e0 AS w, name AS text FROM names
+      UNION ALL SELECT spkid, 'full_name', 1.0e0, full_name FROM names UNION ALL SELECT spkid, 'pdes', 1.0e0, pdes FROM names),
+    spread AS (SELECT spkid, field, w, unnest(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS word FROM fields),
+    tfs AS (SELECT spkid, field, w, word, count(*) AS tf FROM spread WHERE word <> '' GROUP BY ALL),
+    sized AS (SELECT *, sum(tf) OVER (PARTITION BY spkid, field) AS len FROM tfs),
+    lens AS (SELECT field, count(*) AS n, avg(len) AS mean FROM (SELECT DISTINCT spkid, field, len FROM sized) GROUP BY field),
+    dfs AS (SELECT field, word, count(*) AS df FROM tfs GROUP BY field, word),
+    tokens AS (SELECT DISTINCT q, unnest(string_split_regex(lower(q), '[^\\p{{L}}\\p{{N}}]+')) AS token FROM asked),
+    near AS (SELECT token, word, 1 - damerau_levenshtein(token, word)::DOUBLE / greatest(length(token), length(word)) AS c
+      FROM (SELECT DISTINCT token FROM tokens WHERE token <> '') CROSS JOIN (SELECT DISTINCT word FROM tfs) WHERE damerau_levenshtein(token, word) <=
+        CASE WHEN length(token) <= 2 THEN 0 WHEN length(token) <= 5 THEN 1 ELSE 2 END),
+    gains AS (SELECT q, spkid, field, w, token, max(c * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2e0 * (0.25e0 + 0.75e0 * len / mean))) AS gain
+      FROM tokens JOIN near USING (token) JOIN sized USING (word) JOIN lens USING (field) JOIN dfs USING (field, word) GROUP BY q, spkid, field, w, token),
+    by_field AS (SELECT q, spkid, field, round(sum(gain) * any_value(w), 9) AS s FROM gains GROUP BY q, spkid, field),
+    ranked AS (SELECT q, spkid, max(s) AS score FROM by_field GROUP BY q, spkid)"""
+RELEVANT_SQL = f"""
+    WITH {_RELEVANCE} SELECT q, spkid AS "key", round(score, 6) AS score, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, spkid) AS INTEGER) AS rank
+    FROM ranked QUALIFY rank <= 5"""
+
+
+def indexed(spark, names, **options):
+    path = scratch_path(spark, "names")
+    counts = ns.write_index(names, path, **options)
+    return ns.open_index(spark, path), counts
+
+
+@query("search_candidates", RELEVANT_SQL)
+def search_candidates(spark, sf_dir):
+    """Identifiers that no exact form answers, looked up in a stored index by relevance."""
+    queries, names = _open_queries(spark, sf_dir)
+    return rounded(indexed(spark, names)[0].candidates(queries))
+
+
+@query("search_candidates_common_words", RELEVANT_SQL)
+def search_candidates_common_words(spark, sf_dir):
+    """The same with nearly every word so common that it is searched through groups of names."""
+    queries, names = _open_queries(spark, sf_dir)
+    return rounded(indexed(spark, names, hot=20)[0].candidates(queries))
+
+
+@query("index_counts", """
+    WITH f AS (SELECT p_partkey AS k, 'name' AS field, CASE WHEN p_partkey % 10 = 9 THEN NULL ELSE p_name END AS text FROM part
+      UNION ALL SELECT p_partkey, 'full_name', p_name || ' (' || p_type || ' ' || p_partkey || ')' FROM part
+      UNION ALL SELECT p_partkey, 'pdes', p_brand || '/' || p_partkey FROM part),
+    w AS (SELECT DISTINCT k, field, unnest(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+')) AS word FROM f)
+    SELECT (SELECT count(*) FROM part) AS n_names, count(DISTINCT word) AS n_words, count(*) AS n_postings FROM w WHERE word <> ''""")
+def index_counts(spark, sf_dir):
+    return indexed(spark, part_names(spark, sf_dir))[1]
+
+
 @query("name_index", """
     WITH f AS (SELECT p_partkey AS "key", 'name' AS field, CASE WHEN p_partkey % 10 = 9 THEN NULL ELSE p_name END AS text FROM part
       UNION ALL SELECT p_partkey, 'full_name', p_name || ' (' || p_type || ' ' || p_partkey || ')' FROM part
