@@ -12,7 +12,7 @@ passages, are single windows compared.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -285,21 +285,31 @@ def cut_repeats(docs: DataFrame, keep: list[str], text: str = "text", window: in
     # Texts that surely lose nothing are never shuffled: a filter tells them from those that may have spans.
     known = docs.sparkSession.sparkContext.broadcast(build_filter(spans.select(F.col("_t").alias("key"))))
 
-    def apart(possible: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                hit = in_filter(known.value, b.column("_t").to_numpy().view(np.uint64))
-                yield b.filter(pa.array(hit if possible else ~hit))
+    def hits(b: pa.RecordBatch) -> np.ndarray:
+        return in_filter(known.value, b.column("_t").to_numpy().view(np.uint64))
 
-        return run
+    def spare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            b = b.filter(pa.array(~hits(b)))
+            n, left = [], []
+            for raw in b.column("_raw"):
+                words = raw.as_py().split()
+                n.append(len(words))
+                left.append(b" ".join(words))
+            yield batch(
+                **{c: b.column(i) for i, c in enumerate(keep)}, n_words=np.array(n, np.int64), n_removed=np.zeros(len(n), np.int64),
+                kept=pa.array(left, pa.binary()),
+            )
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(hits(b)))
 
     chosen = docs.select(*[F.col(c) for c in keep], *identity(text), text_bytes(text).alias("_raw"))
-    given = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields)
-    none = F.lit(None).cast("array<bigint>")
-    spared = arrow_map(chosen, apart(False), given).select(*keep, "_raw", none.alias("_low"), none.alias("_high"))
-    met = arrow_map(chosen, apart(True), given).join(spans, ["_t", "_u"], "left").select(*keep, "_raw", "_low", "_high")
-    fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[: len(keep)]), "n_words bigint, n_removed bigint, kept binary"])
-    return arrow_map(spared, cut, fields).unionByName(arrow_map(met, cut, fields))
+    given = [f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields]
+    fields = ", ".join([*given[: len(keep)], "n_words bigint, n_removed bigint, kept binary"])
+    met = arrow_map(chosen, meet, ", ".join(given)).join(spans, ["_t", "_u"], "left").select(*keep, "_raw", "_low", "_high")
+    return arrow_map(chosen, spare, fields).unionByName(arrow_map(met, cut, fields))
 
 
 def op7_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
