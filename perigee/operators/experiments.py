@@ -166,19 +166,41 @@ def log_run(
 
 def run_grid(
     spark: SparkSession, df: DataFrame, specs: Mapping[str, FeatureSpec], runs_path: str, dataset: str, n_iter: int = 10,
-    seed: int = SEED, models: Sequence[str] = ALL_MODELS, model_dir: str | None = None,
+    seed: int = SEED, models: Sequence[str] = ALL_MODELS, model_dir: str | None = None, parallelism: int = 4,
 ) -> DataFrame:
-    """Every feature set with every model. Split and balanced train frame are made once per feature set."""
+    """Every feature set with every model. Split and balanced train frame are made and stored once per feature set.
+
+    ``parallelism`` runs are under way at a time, each in a scheduler pool and job group of its own, so the many short
+    jobs of the fits fill the executors and none starves the others where the scheduler is fair. A run that fails takes
+    its own jobs down and the grid with it; runs that were logged before stay.
+    """
+    tasks = []
     for name, spec in specs.items():
         split = cut_lineage(three_way_split(df, spec.id, spec.target, salt=f"_split_{seed}"))
         sizes = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
         train = resampled_train(split, spec, seed=seed)
-        for model in models:
+        # The slowest models first, so that short ones fill the end.
+        tasks += [(name, spec, model, split, sizes, train) for model in models]
+    tasks.sort(key=lambda t: t[2] != "random_forest")
+    sc = spark.sparkContext
+
+    def run(task: tuple) -> None:
+        name, spec, model, split, sizes, train = task
+        group = f"grid-{name}-{model}-{uuid.uuid4().hex}"
+        sc.setLocalProperty("spark.scheduler.pool", f"grid-{name}-{model}")
+        sc.setJobGroup(group, f"{model} on {name}", interruptOnCancel=False)
+        try:
             result = run_experiment(split, spec, model, n_iter, seed, train)
-            log_run(spark, runs_path, result, {
-                "feature_set": name, "dataset": dataset, "n_iter": n_iter, "random_state": seed,
-                **{f"n_{k}": v for k, v in sizes.items()},
-            }, model_dir)
+        except Exception:
+            sc.cancelJobGroup(group)
+            raise
+        log_run(spark, runs_path, result, {
+            "feature_set": name, "dataset": dataset, "n_iter": n_iter, "random_state": seed,
+            **{f"n_{k}": v for k, v in sizes.items()},
+        }, model_dir)
+
+    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
+        pool.map(run, tasks, chunksize=1)
     return spark.read.schema(RUN_SCHEMA).parquet(runs_path)
 
 

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
+
+import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler, VectorSlicer
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,52 +52,105 @@ def balanced_weights(df: DataFrame, target: str, out: str = "weight") -> DataFra
     ).otherwise(F.lit(total / (2 * max(n.get(0, 0), 1)))))
 
 
+def squared_hinge(data: DataFrame, features: Sequence[str], sign: str, weight: str, tol: float = 1e-13, max_steps: int = 100) -> np.ndarray:
+    """Weights, and last the intercept, that minimise |w|^2 / 2 + sum(weight * max(0, 1 - sign * (x w + b))^2), b in w.
+
+    Newton steps: the loss is quadratic on the rows inside the margin, so their sums of products are its Hessian. Each step
+    is one aggregation over all rows in the JVM, whose result is as large as the Hessian. A step that does not lower the
+    loss is halved. ``data`` should be cached; ``sign`` is 1 or -1.
+    """
+    xs = [*(F.col(f"`{f}`") for f in features), F.lit(1.0)]
+    d = len(xs)
+    pairs = [(i, j) for i in range(d) for j in range(i, d)]
+
+    def sums(w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        margin = sum((float(v) * x for v, x in zip(w[1:], xs[1:])), float(w[0]) * xs[0])
+        inside = data.withColumn("_gap", 1 - F.col(sign) * margin).filter("_gap > 0")
+        pull = F.col(weight) * F.col(sign) * F.col("_gap")
+        row = inside.agg(
+            F.sum(F.col(weight) * F.col("_gap") * F.col("_gap")), *[F.sum(pull * x) for x in xs],
+            *[F.sum(F.col(weight) * xs[i] * xs[j]) for i, j in pairs],
+        ).first()
+        values = np.array([v or 0.0 for v in row])
+        hessian = np.eye(d)
+        for (i, j), v in zip(pairs, values[1 + d :]):
+            hessian[i, j] += 2 * v
+            if i != j:
+                hessian[j, i] += 2 * v
+        return float(w @ w / 2 + values[0]), w - 2 * values[1 : 1 + d], hessian
+
+    w = np.zeros(d)
+    loss, gradient, hessian = sums(w)
+    for _ in range(max_steps):
+        step = np.linalg.solve(hessian, gradient)
+        slope, size = float(gradient @ step), 1.0
+        if slope <= tol * (1 + abs(loss)):
+            break
+        while True:
+            reached = sums(w - size * step)
+            if reached[0] <= loss - 1e-4 * size * slope or size < 1e-6:
+                break
+            size /= 2
+        w, (loss, gradient, hessian) = w - size * step, reached
+    return w
+
+
 class CalibratedLinearSVC(Estimator):
-    """Linear SVM with sigmoid calibration over hash folds; the ensemble's probability is the mean of its members.
+    """Linear SVM of squared hinge loss with sigmoid calibration over hash folds; the ensemble's probability is the mean.
 
     Per fold the SVM is fitted on the other folds, and a sigmoid on its margins over the held-out fold. Sigmoid targets
     are shrunk towards the fold's class counts, by giving each held-out row both labels with complementary weights.
-    ``maxIter`` counts quasi-Newton steps over the whole frame, each a Spark job; the tolerance ends a fit well before.
-    ``fit`` returns a pipeline of plain stages with one ``probability_<fold>`` column each.
+    Features are standardised for the fit; the pipeline of plain stages that ``fit`` returns has the margins in terms of
+    the features as they come, and one ``probability_<fold>`` column each. Folds are fitted side by side.
     """
 
-    def __init__(self, featuresCol: str, labelCol: str, keyCol: str, folds: int = 3, regParam: float = 0.0,
-                 maxIter: int = 2000, tol: float = 1e-4, weightCol: str | None = None):
+    def __init__(self, features: Sequence[str], labelCol: str, keyCol: str, folds: int = 3, cost: float = 1.0, weightCol: str | None = None):
         super().__init__()
-        self.features, self.label, self.key = featuresCol, labelCol, keyCol
-        self.folds, self.reg, self.iterations, self.tol, self.weight = folds, regParam, maxIter, tol, weightCol
+        self.features, self.label, self.key = list(features), labelCol, keyCol
+        self.folds, self.cost, self.weight = folds, cost, weightCol
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
-        keep = [self.features, self.label] + ([self.weight] if self.weight else [])
+        columns = [F.col(f"`{f}`").cast("double").alias(f) for f in self.features]
+        weight = F.col(self.weight) if self.weight else F.lit(1.0)
         folded = dataset.select(
-            *keep, F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(self.folds)).alias("_fold")
+            *columns, F.col(self.label).cast("double").alias("_y"), (weight * self.cost).alias("_weight"),
+            F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(self.folds)).alias("_fold"),
         )
-        stages = []
-        for i in range(self.folds):
-            svc = LinearSVC(
-                featuresCol=self.features, labelCol=self.label, rawPredictionCol=f"raw_{i}",
-                predictionCol=f"prediction_{i}", regParam=self.reg, maxIter=self.iterations, tol=self.tol,
-            )
-            if self.weight:
-                svc = svc.setWeightCol(self.weight)
-            fitted = svc.fit(folded.filter(F.col("_fold") != i))
-            slicer = VectorSlicer(inputCol=f"raw_{i}", outputCol=f"margin_{i}", indices=[1])
-            held = slicer.transform(fitted.transform(folded.filter(F.col("_fold") == i)))
-            y = F.col(self.label)
-            size = held.agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")).first()
-            high = ((size["pos"] or 0) + 1) / ((size["pos"] or 0) + 2)
-            low = 1 / ((size["neg"] or 0) + 2)
-            share = F.when(y == 1, F.lit(high)).otherwise(F.lit(low))
-            both = held.select(f"margin_{i}", F.explode(F.array(
-                F.struct(F.lit(1.0).alias("target"), share.alias("share")),
-                F.struct(F.lit(0.0).alias("target"), (1 - share).alias("share")),
-            )).alias("t")).select(f"margin_{i}", "t.target", "t.share")
-            sigmoid = LogisticRegression(
-                featuresCol=f"margin_{i}", labelCol="target", weightCol="share", probabilityCol=f"probability_{i}",
-                rawPredictionCol=f"sigmoid_{i}", predictionCol=f"calibrated_{i}", maxIter=100,
-            ).fit(both)
-            stages += [fitted, slicer, sigmoid]
-        return PipelineModel(stages)
+        spread = folded.agg(*[f(f"`{c}`") for c in self.features for f in (F.avg, F.stddev_pop)]).first()
+        mean = np.array([v or 0.0 for v in spread[0::2]])
+        std = np.array([v or 1.0 for v in spread[1::2]])
+        scaled = folded.select(
+            *[((F.col(f"`{c}`") - float(m)) / float(s)).alias(c) for c, m, s in zip(self.features, mean, std)],
+            (2 * F.col("_y") - 1).alias("_sign"), "_weight", "_fold",
+        ).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            with ThreadPool(self.folds) as pool:
+                parts = pool.map(lambda i: self._fold(folded, scaled, mean, std, i), range(self.folds), chunksize=1)
+        finally:
+            scaled.unpersist()
+        return PipelineModel([stage for part in parts for stage in part])
+
+    def _fold(self, folded: DataFrame, scaled: DataFrame, mean: np.ndarray, std: np.ndarray, i: int) -> list:
+        w = squared_hinge(scaled.filter(F.col("_fold") != i), self.features, "_sign", "_weight")
+        own = w[:-1] / std
+        terms = " + ".join(f"CAST(`{c}` AS DOUBLE) * {v!r}D" for c, v in zip(self.features, own.tolist()))
+        margin = SQLTransformer(statement=f"SELECT *, {terms} + {float(w[-1] - own @ mean)!r}D AS distance_{i} FROM __THIS__")
+        vector = VectorAssembler(inputCols=[f"distance_{i}"], outputCol=f"margin_{i}")
+        held = vector.transform(margin.transform(folded.filter(F.col("_fold") == i)))
+        y = F.col("_y")
+        size = held.agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")).first()
+        high = ((size["pos"] or 0) + 1) / ((size["pos"] or 0) + 2)
+        low = 1 / ((size["neg"] or 0) + 2)
+        share = F.when(y == 1, F.lit(high)).otherwise(F.lit(low))
+        both = held.select(f"margin_{i}", F.explode(F.array(
+            F.struct(F.lit(1.0).alias("target"), share.alias("share")),
+            F.struct(F.lit(0.0).alias("target"), (1 - share).alias("share")),
+        )).alias("t")).select(f"margin_{i}", "t.target", "t.share")
+        sigmoid = LogisticRegression(
+            featuresCol=f"margin_{i}", labelCol="target", weightCol="share", probabilityCol=f"probability_{i}",
+            rawPredictionCol=f"sigmoid_{i}", predictionCol=f"calibrated_{i}", maxIter=100,
+        ).fit(both)
+        return [margin, vector, sigmoid]
 
 
 def used_params(name: str, params: dict) -> dict:
@@ -104,21 +162,20 @@ def make_pipeline(
     name: str, spec: FeatureSpec, n_rows: int = 1000, key: str | None = None, weight: str | None = None,
     seed: int = SEED, **params,
 ) -> Pipeline:
-    """Unfitted pipeline. ``n_rows`` of the training frame sets the ridge strength 1/n of the linear models."""
+    """Unfitted pipeline. ``n_rows`` of the training frame sets the ridge strength 1/n of logistic regression."""
     if name not in ALL_MODELS:
         raise ValueError(f"unknown model {name!r}")
+    if name == "linear_svc":
+        return Pipeline(stages=[CalibratedLinearSVC(spec.features, spec.target, key or spec.id, weightCol=weight, **params)])
     assembler = VectorAssembler(inputCols=list(spec.features), outputCol="assembled")
-    if name in ("logistic_regression", "linear_svc"):
+    if name == "logistic_regression":
         scaler = StandardScaler(inputCol="assembled", outputCol="scaled", withMean=True, withStd=True)
-        if name == "logistic_regression":
-            last = LogisticRegression(
-                featuresCol="scaled", labelCol=spec.target, maxIter=1000, regParam=1.0 / n_rows, elasticNetParam=0.0,
-                standardization=False, **params,
-            )
-            if weight:
-                last = last.setWeightCol(weight)
-        else:
-            last = CalibratedLinearSVC("scaled", spec.target, key or spec.id, regParam=1.0 / n_rows, weightCol=weight, **params)
+        last = LogisticRegression(
+            featuresCol="scaled", labelCol=spec.target, maxIter=1000, regParam=1.0 / n_rows, elasticNetParam=0.0,
+            standardization=False, **params,
+        )
+        if weight:
+            last = last.setWeightCol(weight)
         return Pipeline(stages=[assembler, scaler, last])
 
     depth = params.pop("max_depth", 4 if name == "decision_tree" else None)

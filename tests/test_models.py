@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -124,3 +125,19 @@ def test_runs_log_the_depth_that_was_used(split, train, monkeypatch):
     result = ex.run_experiment(split, WITH_MOID, "decision_tree", n_iter=1, train=train)
     assert result.best_params == {"max_depth": models.UNLIMITED_DEPTH}
     assert result.model.stages[-1].getMaxDepth() == models.UNLIMITED_DEPTH
+
+
+def test_squared_hinge_equals_a_dense_solution(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(2000, 4))
+    y = np.where(x @ [1.0, -2.0, 0.5, 0.0] + 0.7 * rng.normal(size=2000) > 0.3, 1.0, -1.0)
+    c = np.where(y > 0, 1.5, 0.5)
+    rows = [(*map(float, r), float(s), float(k)) for r, s, k in zip(x, y, c)]
+    data = spark.createDataFrame(rows, "a double, b double, c double, d double, sign double, cost double").cache()
+    got = models.squared_hinge(data, ["a", "b", "c", "d"], "sign", "cost")
+    z = np.hstack([x, np.ones((2000, 1))])
+    w = np.zeros(5)
+    for _ in range(20000):  # plain gradient descent with a safe step
+        gap = np.maximum(0, 1 - y * (z @ w))
+        w -= (w - 2 * (c * y * gap) @ z) / (1 + 2 * np.linalg.norm(z * np.sqrt(c)[:, None], 2) ** 2)
+    assert np.abs(got - w).max() < 1e-4
