@@ -32,8 +32,8 @@ from perigee.session import broadcast_if_small
 # Conversations that share a beginning stand in groups of 20, and take up to 3 turns of the first of them.
 GROUP, BORROWED = 20, 4
 MASK = (1 << 62) - 1
-# Depths of an edge that one row stands for before edges are expanded; bytes of identifiers hashed at once.
-EDGE, PIECE = 1024, 1 << 20
+# Depths of an edge that one row stands for before edges are expanded; bytes of identifiers hashed at once; rows of results passed on at once.
+EDGE, PIECE, ROWS = 1024, 1 << 20, 4096
 NODE = "e bigint, ehi bigint, elo bigint, p bigint, rep bigint, f bigint, hi bigint, lo bigint, nhi bigint, nlo bigint"
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
@@ -276,41 +276,56 @@ def ends_digest(ends: DataFrame) -> DataFrame:
     """
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
-        now, run, size = None, [], 0
+        now, run, size, held, done = None, [], 0, 0, []
 
-        def piece() -> pa.RecordBatch:
-            nonlocal number, run, size
-            out = batch(e=[now[0]], ehi=[now[1]], elo=[now[2]], place=pa.array([part], pa.int64()), number=pa.array([number], pa.int64()), text=[",".join(run)])
-            number, run, size = number + 1, [], 0
-            return out
+        def close() -> None:
+            nonlocal number, run, size, held
+            done.append((*now, part, number, ",".join(run)))
+            number, held, run, size = number + 1, held + size, [], 0
+
+        def finished() -> pa.RecordBatch:
+            nonlocal held
+            columns = [list(c) for c in zip(*done)]
+            held = 0
+            done.clear()
+            return batch(**dict(zip(("e", "ehi", "elo", "place", "number"), columns)), text=columns[5])
 
         for b in batches:
             for *key, conv in zip(*[c.to_pylist() for c in b.columns]):
                 if key != now or size > PIECE:
                     if run:
-                        yield piece()
+                        close()
+                        if len(done) >= ROWS or held > PIECE:
+                            yield finished()
                     now = key
                 run.append(str(conv))
                 size += len(run[-1]) + 1
         if run:
-            yield piece()
+            close()
+        if done:
+            yield finished()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, state = None, None
+        now, state, done = None, None, []
 
-        def done() -> pa.RecordBatch:
-            return batch(e=[now[0]], ehi=[now[1]], elo=[now[2]], ends_sha256=[state.hexdigest()])
+        def finished() -> pa.RecordBatch:
+            columns = [list(c) for c in zip(*done)]
+            done.clear()
+            return batch(e=columns[0], ehi=columns[1], elo=columns[2], ends_sha256=columns[3])
 
         for b in batches:
             for *key, text in zip(*[b.column(i).to_pylist() for i in (0, 1, 2, 5)]):
                 if key != now:
                     if state is not None:
-                        yield done()
+                        done.append((*now, state.hexdigest()))
                     now, state = key, hashlib.sha256(text.encode())
                 else:
                     state.update(b"," + text.encode())
+            if len(done) >= ROWS:
+                yield finished()
         if state is not None:
-            yield done()
+            done.append((*now, state.hexdigest()))
+            yield finished()
 
     columns = ["e", "ehi", "elo", "conv"]
     sorted_ends = ends.select(*columns).repartitionByRange(*columns).sortWithinPartitions(*columns)
