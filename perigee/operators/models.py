@@ -13,6 +13,7 @@ from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from perigee.session import broadcast_if_small, cut_lineage, scratch_path
 from perigee.spec import FeatureSpec
 
 # Model names.
@@ -206,3 +207,65 @@ def tree_rules(model: PipelineModel, spec: FeatureSpec) -> str:
     for i in reversed(range(len(spec.features))):
         text = text.replace(f"feature {i} ", f"{spec.features[i]} ")
     return text
+
+
+def tree_nodes(model: PipelineModel, spec: FeatureSpec, spark) -> DataFrame:
+    """Nodes of a decision tree or forest: (tree, node, feature, threshold, low, high, prediction, rows).
+
+    A row goes to ``low`` when its feature is at most the threshold, else to ``high``; both are null at a leaf, as are
+    feature and threshold. Read from the stored form of the model, so a large forest never passes the driver.
+    """
+    path = scratch_path(spark, "trees")
+    model.stages[-1].write().save(path)
+    stored = spark.read.parquet(f"{path}/data")
+    if "nodeData" in stored.columns:
+        stored = stored.select(F.col("treeID").alias("tree"), "nodeData.*")
+    else:
+        stored = stored.withColumn("tree", F.lit(0))
+    names = F.array(*[F.lit(f) for f in spec.features])
+    inner = F.col("leftChild") >= 0
+    return stored.select(
+        "tree", F.col("id").alias("node"), F.when(inner, F.element_at(names, F.col("split.featureIndex") + 1)).alias("feature"),
+        F.when(inner, F.col("split.leftCategoriesOrThreshold")[0]).alias("threshold"),
+        F.when(inner, F.col("leftChild")).alias("low"), F.when(inner, F.col("rightChild")).alias("high"), "prediction", F.col("rawCount").alias("rows"),
+    )
+
+
+def rule_table(nodes: DataFrame) -> DataFrame:
+    """(tree, node, rule, depth, prediction, rows): the conditions from the root to every leaf, joined by AND; an only node's rule is true.
+
+    Paths are joined upwards a level at a time, for all leaves of all trees at once.
+    """
+    steps = nodes.filter("low is not null")
+    above = steps.select("tree", F.col("low").alias("at"), F.col("node").alias("up"), F.concat_ws(" <= ", "feature", F.col("threshold").cast("string")).alias("test")).unionByName(
+        steps.select("tree", F.col("high").alias("at"), F.col("node").alias("up"), F.concat_ws(" > ", "feature", F.col("threshold").cast("string")).alias("test")))
+    above = cut_lineage(above)
+    state = nodes.filter("low is null").select("tree", "node", F.col("node").alias("at"), F.lit("").alias("rule"), F.lit(0).alias("depth"), "prediction", "rows")
+    while True:
+        further = cut_lineage(state.join(above, ["tree", "at"], "left").select(
+            "tree", "node", F.coalesce("up", "at").alias("at"),
+            F.when(F.col("up").isNull(), F.col("rule")).when(F.col("rule") == "", F.col("test")).otherwise(F.concat_ws(" AND ", "test", "rule")).alias("rule"),
+            (F.col("depth") + F.col("up").isNotNull().cast("int")).alias("depth"), "prediction", "rows", F.col("up").isNotNull().alias("moved"),
+        ))
+        state = further.drop("moved")
+        if further.filter("moved").isEmpty():
+            return state.select("tree", "node", F.when(F.col("rule") == "", "true").otherwise(F.col("rule")).alias("rule"), "depth", "prediction", "rows")
+
+
+def walk_rules(df: DataFrame, nodes: DataFrame, features: Sequence[str], id_col: str) -> DataFrame:
+    """(id, tree, node): the leaf of every tree that each row falls into, one join with the nodes a level."""
+    trees = nodes.select("tree").distinct()
+    values = F.create_map(*[x for f in features for x in (F.lit(f), F.col(f"`{f}`").cast("double"))])
+    state = df.select(F.col(id_col), values.alias("_values")).join(F.broadcast(trees), F.lit(True))  # a forest has few trees
+    state = state.withColumn("node", F.lit(0))
+    inner = nodes.filter("low is not null").select("tree", "node", "feature", "threshold", "low", "high")
+    inner = broadcast_if_small(cut_lineage(inner))
+    while True:
+        lower = F.col("_values")[F.col("feature")] <= F.col("threshold")
+        moved = cut_lineage(state.join(inner, ["tree", "node"], "left").select(
+            id_col, "_values", "tree", F.when(F.col("low").isNull(), F.col("node")).when(lower, F.col("low")).otherwise(F.col("high")).alias("node"),
+            F.col("low").isNotNull().alias("moved"),
+        ))
+        state = moved.drop("moved")
+        if moved.filter("moved").isEmpty():
+            return state.select(id_col, "tree", "node")

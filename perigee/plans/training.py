@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from perigee.functions.text import rule_met
 from perigee.operators import experiments as ex
-from perigee.operators import models
+from perigee.operators import models, scoring
 from perigee.operators.metrics import METRIC_FIELDS
 from perigee.operators.sampling import three_way_split
 from perigee.plans.lookup import BODY_SQL, bodies
@@ -118,6 +118,26 @@ def feature_importances(spark, sf_dir):
     return models.feature_importances(fitted_tree(spark, sf_dir), WITH_MOID, spark)
 
 
+@query("tree_rule_predictions", f"""
+    WITH {BODY_SQL} SELECT count(*) AS n_rows, count(*) AS n_one_rule, count(*) AS n_as_predicted, count(*) AS n_in_stated_bounds FROM bodies""")
+def tree_rule_predictions(spark, sf_dir):
+    """All bodies through the rules of a fitted tree: each meets one rule, whose class is the model's, and the bounds that its text states."""
+    model = fitted_tree(spark, sf_dir)
+    nodes = cut_lineage(models.tree_nodes(model, WITH_MOID, spark))
+    rules = cut_lineage(models.rule_table(nodes))
+    rows = cut_lineage(ex._numeric(labelled_bodies(spark, sf_dir), WITH_MOID))
+    met = models.walk_rules(rows, nodes, WITH_MOID.features, "spkid").join(F.broadcast(rules), ["tree", "node"])
+    predicted = scoring.apply_model(rows, model, WITH_MOID).select("spkid", "pred")
+    # The texts themselves, applied as conditions: a fitted tree of depth four has at most sixteen.
+    by_text = F.coalesce(*[F.when(F.expr(r["rule"]), F.lit(r["node"])) for r in rules.select("rule", "node").collect()], F.lit(-1))
+    stated = rows.select("spkid", by_text.alias("stated"))
+    one = met.groupBy("spkid").agg(F.count("*").alias("n"), F.first("prediction").alias("prediction"), F.first("node").alias("node"))
+    return rows.select("spkid").join(one, "spkid", "left").join(predicted, "spkid").join(stated, "spkid").agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("n") == 1).alias("n_one_rule"), F.count_if(F.col("prediction") == F.col("pred")).alias("n_as_predicted"),
+        F.count_if(F.col("stated") == F.col("node")).alias("n_in_stated_bounds"),
+    )
+
+
 @query("class_weights", """
     WITH b AS (SELECT event_type = 'error' AS y FROM events), n AS (SELECT count(*) AS t, count(*) FILTER (y) AS p FROM b)
     SELECT CAST(y AS INTEGER) AS y, round(CASE WHEN y THEN t / (2.0e0 * p) ELSE t / (2.0e0 * (t - p)) END, 6) AS weight, count(*) AS n
