@@ -33,6 +33,19 @@ def text_bytes(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("binary"), F.lit(b""))
 
 
+def with_text(docs: DataFrame, keep: Sequence[str], text: str) -> tuple[DataFrame, int]:
+    """``keep``, and the text behind them unless it is one of them, so that no text travels twice; and the text's place."""
+    columns = [F.col(f"`{c}`") for c in keep]
+    if text in keep and docs.schema[text].dataType.simpleString() in ("string", "binary"):
+        return docs.select(*columns), list(keep).index(text)
+    return docs.select(*columns, text_bytes(text).alias("__text")), len(columns)
+
+
+def raw_texts(b: pa.RecordBatch, at: int) -> list[bytes]:
+    """A text column of a batch as UTF-8 bytes, null as empty."""
+    return [t or b"" for t in b.column(at).cast(pa.binary()).to_pylist()]
+
+
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` with batches bounded in rows and bytes, so that long texts don't add up."""
     conf = df.sparkSession.conf

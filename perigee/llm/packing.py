@@ -26,7 +26,7 @@ from perigee.llm.common import arrow_map, batch, n_buckets, store, table, text_b
 CAPACITY = 4096
 END = 1
 # Words whose tokens a worker remembers: up to twice as many.
-WORD_CACHE = 300_000
+WORD_CACHE = 120_000
 # How the tokenizer's special tokens begin.
 SPECIAL = b"<|"
 ASCII_PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm.common import arrow_map, batch, mix64, store, table, text_bytes
+from perigee.llm.common import arrow_map, batch, mix64, raw_texts, store, table, text_bytes, with_text
 
 WINDOW = 35
 # A border and the names of its two symbols are determined by this many words on either side.
@@ -266,8 +266,8 @@ def cut_repeats(docs: DataFrame, keep: list[str], text: str = "text", window: in
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, gone, left = [], [], []
-            raws, lows, highs = b.columns[-3:]
-            for raw, low, high in zip(raws.to_pylist(), lows, highs):
+            lows, highs = b.columns[-2:]
+            for raw, low, high in zip(raw_texts(b, at), lows, highs):
                 words = raw.split()
                 n.append(len(words))
                 if not low.is_valid:
@@ -292,8 +292,8 @@ def cut_repeats(docs: DataFrame, keep: list[str], text: str = "text", window: in
         for b in batches:
             b = b.filter(pa.array(~hits(b)))
             n, left = [], []
-            for raw in b.column("_raw"):
-                words = raw.as_py().split()
+            for raw in raw_texts(b, at):
+                words = raw.split()
                 n.append(len(words))
                 left.append(b" ".join(words))
             yield batch(
@@ -305,10 +305,10 @@ def cut_repeats(docs: DataFrame, keep: list[str], text: str = "text", window: in
         for b in batches:
             yield b.filter(pa.array(hits(b)))
 
-    chosen = docs.select(*[F.col(c) for c in keep], *identity(text), text_bytes(text).alias("_raw"))
+    chosen, at = with_text(docs.withColumns(dict(zip(("_t", "_u"), identity(text)))), [*keep, "_t", "_u"], text)
     given = [f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields]
     fields = ", ".join([*given[: len(keep)], "n_words bigint, n_removed bigint, kept binary"])
-    met = arrow_map(chosen, meet, ", ".join(given)).join(spans, ["_t", "_u"], "left").select(*keep, "_raw", "_low", "_high")
+    met = arrow_map(chosen, meet, ", ".join(given)).join(spans, ["_t", "_u"], "left").select(*chosen.columns, "_low", "_high")
     return arrow_map(chosen, spare, fields).unionByName(arrow_map(met, cut, fields))
 
 

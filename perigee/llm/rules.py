@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm.common import arrow_map, batch, store, table, text_bytes
+from perigee.llm.common import arrow_map, batch, raw_texts, store, table, with_text
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"  # fixed by the contract of the query
@@ -71,11 +71,11 @@ def document_stats(docs: DataFrame, keep: list[str], text: str = "text") -> Data
     """The columns ``keep`` and the counts STATS of every whole text; a null text counts as empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            stats = np.array([text_stats(t) for t in b.column(b.num_columns - 1).to_pylist()], np.int64).reshape(-1, len(STATS))
+            stats = np.array([text_stats(t) for t in raw_texts(b, at)], np.int64).reshape(-1, len(STATS))
             yield batch(**{c: b.column(i) for i, c in enumerate(keep)}, **{c: stats[:, i] for i, c in enumerate(STATS)})
 
-    chosen = docs.select(*[F.col(c) for c in keep], text_bytes(text).alias("__text"))
-    fields = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1]] + [f"{c} bigint" for c in STATS])
+    chosen, at = with_text(docs, keep, text)
+    fields = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[: len(keep)]] + [f"{c} bigint" for c in STATS])
     return arrow_map(chosen, run, fields)
 
 

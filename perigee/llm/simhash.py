@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm.common import arrow_map, batch, components, mix64, store, table, text_bytes
+from perigee.llm.common import arrow_map, batch, components, mix64, raw_texts, store, table, text_bytes, with_text
 
 SEED = 42
 # Longest run of equal blocks that is compared in one go; longer ones are split by further blocks first. Not below 16,
@@ -275,7 +275,7 @@ def with_signatures(docs: DataFrame, keep: list[str], shingle: int, bands: int,
         for b in batches:
             names, sizes = [], []
             least = np.empty((b.num_rows, count), np.uint64)
-            for i, raw in enumerate(b.column(b.num_columns - 1).to_pylist()):
+            for i, raw in enumerate(raw_texts(b, at)):
                 h = np.unique(shingle_hashes(raw, shingle))
                 names.append(xxhash.xxh3_128_digest(h.tobytes()))
                 sizes.append(len(h))
@@ -292,8 +292,8 @@ def with_signatures(docs: DataFrame, keep: list[str], shingle: int, bands: int,
                 _s0=sketch[:, 0].copy(), _s1=sketch[:, 1].copy(), _keys=lists,
             )
 
-    chosen = docs.select(*[F.col(c) for c in keep], text_bytes(text).alias("__text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
+    chosen, at = with_text(docs, keep, text)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[: len(keep)])
     return arrow_map(chosen, run, f"{fields}, _set binary, _n bigint, _s0 bigint, _s1 bigint, _keys array<bigint>")
 
 
