@@ -141,3 +141,15 @@ def test_squared_hinge_equals_a_dense_solution(spark):
         gap = np.maximum(0, 1 - y * (z @ w))
         w -= (w - 2 * (c * y * gap) @ z) / (1 + 2 * np.linalg.norm(z * np.sqrt(c)[:, None], 2) ** 2)
     assert np.abs(got - w).max() < 1e-4
+
+
+def test_rules_of_a_forest_lead_to_its_leaves(spark, split, train):
+    fitted = models.make_pipeline("random_forest", WITH_MOID, 1000, n_estimators=3, max_depth=3).fit(ex.sized(train, 1000))
+    nodes = models.tree_nodes(fitted, WITH_MOID, spark).cache()
+    rules = models.rule_table(nodes).collect()
+    assert {r["tree"] for r in rules} == {0, 1, 2} and max(r["depth"] for r in rules) <= 3
+    rows = ex._numeric(split.filter("split = 'test'"), WITH_MOID).limit(300).cache()
+    met = {(r["spkid"], r["tree"]): r["node"] for r in models.walk_rules(rows, nodes, WITH_MOID.features, "spkid").collect()}
+    assert len(met) == 3 * rows.count()
+    for r in rules:  # every row that a rule's text holds for is at its leaf
+        assert {met[x["spkid"], r["tree"]] for x in rows.filter(r["rule"]).select("spkid").collect()} <= {r["node"]}
