@@ -20,6 +20,14 @@ TOLERANCE = 1e-9
 SNAP = 1e-7
 # Keys are hashes of 40 bits divided by the rate's fraction; words are summed by their bits above these.
 FIRST_BITS, SECOND_BITS = 28, 16
+# Tables of a row per source are kept as local relations up to this many rows, and stored beyond.
+SMALL = 10_000
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """The frame with its plan cut, without a file where it has few rows: one step of many is not worth a job's folders and files."""
+    rows = df.limit(SMALL + 1).toArrow()
+    return store(df) if len(rows) > SMALL else df.sparkSession.createDataFrame(rows, df.schema)
 
 
 def word_count(text: Column) -> Column:
@@ -58,7 +66,7 @@ def balanced_rates(groups: DataFrame, max_copies: float) -> DataFrame:
     Safeguarded Newton on the dual, for all groups at once. Its derivative by a group's multiplier is the words that the rates give, less the target;
     the second derivative is the words of documents below the limit.
     """
-    groups = store(groups)
+    groups = settle(groups)
     # The multipliers if no rate met the limit; Newton steps mend them where some do.
     plain = F.sum(F.col("base") * F.col("size"))
     start = F.when((plain > 0) & (F.col("target") > 0), F.ln(F.col("target") / plain)).otherwise(0.0)
@@ -77,7 +85,7 @@ def balanced_rates(groups: DataFrame, max_copies: float) -> DataFrame:
         newton = F.col("multiplier") + gap / F.when(F.col("slope") > 0, F.col("slope"))
         # A step out of the interval known to hold the solution is replaced by halving the interval.
         step = F.when((newton > F.col("low")) & (newton < F.col("high")), newton).otherwise((F.col("low") + F.col("high")) / 2)
-        stepped = store(sums.select("g", "target", F.when(F.col("done"), F.col("multiplier")).otherwise(step).alias("multiplier"), "low", "high", "done"))
+        stepped = settle(sums.select("g", "target", F.when(F.col("done"), F.col("multiplier")).otherwise(step).alias("multiplier"), "low", "high", "done"))
         state = stepped.drop("done")
         if not stepped.filter("not done").limit(1).count():
             break
@@ -101,14 +109,14 @@ def prefix_cuts(free: DataFrame, need: DataFrame) -> DataFrame:
         running = Window.partitionBy("g").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
         passed = sums.withColumn("after", F.col("taken") + F.sum("s").over(running)).filter("after > need")
         first = passed.groupBy("g").agg(F.min_by(F.struct(F.col("bin").alias("low"), (F.col("after") - F.col("s")).alias("taken")), "bin").alias("x"))
-        state = store(need.join(first.select("g", "x.low", "x.taken"), "g", "left"))
+        state = settle(need.join(first.select("g", "x.low", "x.taken"), "g", "left"))
     inside = free.join(state, "g").filter(F.shiftright("key", SECOND_BITS) == F.col("low"))
     # The default frame of an ordered window includes peers: equal keys are taken together or not at all.
     after = F.col("taken") + F.sum("size").over(Window.partitionBy("g").orderBy("key"))
     last = inside.withColumn("after", after).filter("after <= need").groupBy("g").agg(F.max("key").alias("key"))
     # A group that never passes its need takes every document.
     cut = F.coalesce("key", F.shiftleft("low", SECOND_BITS) - 1, F.lit((1 << 62)))
-    return store(state.join(last, "g", "left").select("g", cut.alias("cut")))
+    return settle(state.join(last, "g", "left").select("g", cut.alias("cut")))
 
 
 def rounding_cuts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -119,12 +127,12 @@ def rounding_cuts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     still needed goes to documents behind it that are small enough, cut in the same order, until none fits. Fills
     together have fewer words than the document at the first cut.
     """
-    need = store(rows.groupBy("g").agg((F.first("target") - F.sum(F.col("whole") * F.col("size"))).alias("need")))
+    need = settle(rows.groupBy("g").agg((F.first("target") - F.sum(F.col("whole") * F.col("size"))).alias("need")))
     free = rows.filter("key is not null and size > 0").select("g", "size", "key")
     cuts = prefix_cuts(free, need)
     placed = free.join(cuts, "g")
     got = placed.filter("key <= cut").groupBy("g").agg(F.sum("size").alias("got"))
-    need = store(need.join(got, "g", "left").select("g", (F.col("need") - F.coalesce("got", F.lit(0))).alias("need")))
+    need = settle(need.join(got, "g", "left").select("g", (F.col("need") - F.coalesce("got", F.lit(0))).alias("need")))
     behind = placed.filter("key > cut").groupBy("g", "key").agg(F.sum("size").alias("size"))
     fills = None
     while True:
@@ -137,7 +145,7 @@ def rounding_cuts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         add = store(placed.filter("key <= cut").select("g", "size", "key"))
         fills = add if fills is None else fills.unionByName(add)
         got = add.groupBy("g").agg(F.sum("size").alias("got"))
-        need = store(need.join(got, "g").select("g", (F.col("need") - F.col("got")).alias("need")))
+        need = settle(need.join(got, "g").select("g", (F.col("need") - F.col("got")).alias("need")))
         behind = placed.filter("key > cut").select("g", "size", "key")
     return cuts, behind.select("g", "key") if fills is None else store(fills.select("g", "key"))
 
@@ -161,7 +169,7 @@ def mix(
     )
     slim = store(sized.select("_source", "_g", "_size", "_base", "_u"))
     by_source = slim.groupBy(F.col("_source").alias("source")).agg(F.sum("_size").alias("source_size"))
-    sources = store(water_filled_targets(by_source, share, weights, max_copies).withColumn("g", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null"))))
+    sources = settle(water_filled_targets(by_source, share, weights, max_copies).withColumn("g", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null"))))
     by_base = slim.groupBy(F.col("_g").alias("g"), F.col("_base").alias("base")).agg(F.sum("_size").cast("double").alias("size"))
     state = balanced_rates(by_base.join(sources.select("g", "target"), "g"), max_copies)
     plan = sources.select("g", "source_size", "target").join(state.select("g", "multiplier"), "g")
@@ -176,11 +184,11 @@ def mix(
             .withColumn("_key", F.when(fraction > 0, F.least(F.col("_u") / fraction, F.lit(float(1 << 44))).cast("long")))
         )
 
-    plan = store(plan)
+    plan = settle(plan)
     cuts, fills = rounding_cuts(store(rounded(slim).select(
         F.col("_g").alias("g"), F.col("_size").alias("size"), F.col("_whole").alias("whole"), F.col("_key").alias("key"), "target"
     )))
-    plan = store(plan.join(cuts, "g", "left"))
+    plan = settle(plan.join(cuts, "g", "left"))
     fills = fills.select(F.col("g").alias("_g"), F.col("key").alias("_key"), F.lit(True).alias("_fill"))
     extra = F.coalesce(F.col("_key") <= F.col("cut"), F.lit(False)) | F.coalesce("_fill", F.lit(False))
     extra = F.when(F.col("_size") > 0, extra.cast("long")).otherwise(0)

@@ -3,6 +3,8 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from perigee.llm import mixing
+from perigee.llm.common import store
 from perigee.llm.mixing import mix, op1_entropy_mix
 
 
@@ -99,3 +101,17 @@ def test_repeated_rows_fill_together_or_not(spark):
 def test_total_within_two_hundredths(spark, sf):
     rows = op1_entropy_mix(spark, sf).collect()
     assert sum(r["taken"] for r in rows) == pytest.approx(1.5 * sum(r["size"] for r in rows), rel=0.02)
+
+
+@pytest.mark.parametrize("small", [0, mixing.SMALL])
+def test_tables_by_source_write_no_files(spark, odd, sf, monkeypatch, small):
+    """A row per source is not worth files; beyond the limit they are stored, with the same result."""
+    monkeypatch.setattr(mixing, "SMALL", small)
+    stored = []
+    monkeypatch.setattr(mixing, "store", lambda df: stored.append(df) or store(df))
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    copies = {r["doc_id"]: r["copies"] for r in mixing.mix(docs, ["doc_id"]).collect()}
+    by_source = [df.columns for df in stored if not {"size", "_size", "key"} & set(df.columns)]
+    assert not by_source if small else len(by_source) > 5
+    test_tables_by_source_write_no_files.copies = getattr(test_tables_by_source_write_no_files, "copies", copies)
+    assert copies == test_tables_by_source_write_no_files.copies
