@@ -4,9 +4,10 @@
 may differ, a close pair has an equal block. Rows that share a block meet in one run of a sorted partition, and only a
 spanning forest of a run's links is passed on, never all its pairs.
 
-``link_similar`` is for similarities that 64 bits cannot tell. Bands of minima of hashes propose pairs, as many bands as
-the recall at the similarity needs, and the shingle sets themselves decide on every pair. Nothing is gathered by band:
-pairs come from joins, and pairs that links already found make needless are not looked at.
+``link_similar`` is for similarities that 64 bits cannot tell. Wide fingerprints of the sets of shingles are looked up in
+tables by some of their bits each, as many tables as the recall at the similarity needs; pairs that meet and whose
+fingerprints are close are decided by the shingle sets themselves. Nothing is gathered by key: pairs come from
+joins, and pairs that links already found make needless are not looked at.
 
 Equal fingerprints, or equal sets, are one row before anything is joined.
 """
@@ -24,14 +25,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perigee.llm.common import arrow_map, batch, components, mix64, raw_texts, store, table, text_bytes, with_text
+from perigee.session import free_shuffles, scratch_path, scratch_scope
 
 SEED = 42
 # Longest run of equal blocks that is compared in one go; longer ones are split by further blocks first. Not below 16,
 # as so few distinct rows may be left where there are no more bits to split by.
 RUN = 2048
 CHUNK = 1 << 12
-# Minima of hashes that make a key; minima whose bits make a sketch; hashes taken at once; rounds of pairs with one text a key.
-BAND, SKETCH, MINIMA_CHUNK, STARS = 7, 128, 1 << 10, 2
+# Bits of a set's fingerprint; of them in a sketch; tables dealt at once; rounds of pairs with one text a key.
+WIDE, SKETCH, TABLES, STARS = 1024, 128, 20, 2
+# Bits of a table's key follow the number of sets, so that a key has few unlike ones; and are so many at least.
+LEAST_BITS = 16
+# Keys of up to so many sets are dropped if no two of their sketches are close.
+CHANCE = 8
+# Sets of up to so many shingles have too few for the bits to follow the angle; they meet by shingles.
+FEW = 20
 # Byte -> its bits as the lowest bits of eight bytes, so that one addition counts eight bits.
 SPREAD = np.array([sum(((b >> i) & 1) << (8 * i) for i in range(8)) for b in range(256)], np.uint64)
 
@@ -249,52 +257,83 @@ def link_close(fps: DataFrame, radius: int) -> DataFrame:
             return edges
 
 
-def band_count(similarity: float, recall: float) -> int:
-    """Bands of ``BAND`` minima so that a pair of the similarity has an equal one with the recall."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - similarity**BAND))
+def differing(similarity: float) -> float:
+    """The share of differing bits of two sets of the similarity: by their angle if of one size, where it is largest, and up to 5 % more for ties."""
+    return 1.05 * math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def minima(hashes: np.ndarray, count: int) -> np.ndarray:
-    """The smallest value of each of ``count`` hash functions over the set; two sets have equal ones as often as they are similar."""
-    seeds = mix64(np.arange(1, 2 * count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    factor, plus = (seeds[:count] | np.uint64(1))[:, None], seeds[count:][:, None]
-    least = np.full(count, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    for at in range(0, len(hashes), MINIMA_CHUNK):
-        least = np.minimum(least, (factor * hashes[None, at : at + MINIMA_CHUNK] + plus).min(axis=1))
-    return least
+def most_differing(similarity: float, bits: int) -> int:
+    p = differing(similarity)
+    return math.floor(bits * p + 4 * math.sqrt(bits * p * (1 - p)))
 
 
-def with_signatures(docs: DataFrame, keep: list[str], shingle: int, bands: int, text: str) -> DataFrame:
-    """``keep``; ``_set``, which names the set of shingles; ``_n``, its size; a sketch of a bit of each of 128 minima; a key per band.
+def table_count(similarity: float, recall: float, bits: int) -> int:
+    """Tables keyed by ``bits`` of a fingerprint each so that a pair of the similarity has an equal key with the recall.
 
-    A text without words has no keys.
+    Tables share the fingerprint's bits, so the recall is a mean over how many of them differ.
     """
-    count = max(bands * BAND, SKETCH)
+    p, z = differing(similarity), np.linspace(-4, 4, 81)
+    weight = np.exp(-z * z / 2) / np.exp(-z * z / 2).sum()
+    missed = 1 - np.clip(1 - p - z * math.sqrt(p * (1 - p) / WIDE), 0, 1) ** bits
+    count = 1
+    while weight @ missed**count > 1 - recall:
+        count += 1
+    return count
 
+
+def key_tables(similarity: float, recall: float, rows: int) -> list[np.ndarray]:
+    """The places of the bits of each table."""
+    bits = min(32, max(LEAST_BITS, rows.bit_length()))
+    rng = np.random.default_rng(SEED)
+    return [rng.choice(WIDE, bits, replace=False) for _ in range(table_count(similarity, recall, bits))]
+
+
+def table_keys(fps: np.ndarray, tables: list[np.ndarray], first: int) -> np.ndarray:
+    """``[row, table]`` from fingerprints as rows of bytes; ``first`` numbers the tables."""
+    bits = np.unpackbits(fps, axis=1, bitorder="little")
+    value = np.stack([bits[:, t] @ (np.int64(1) << np.arange(len(t))) for t in tables], axis=1).astype(np.uint64)
+    return mix64(value + (np.arange(first, first + len(tables), dtype=np.uint64) << np.uint64(32)))
+
+
+def with_signatures(docs: DataFrame, keep: list[str], shingle: int, similarity: float, text: str) -> DataFrame:
+    """``keep``; ``_set``, which names the set of shingles; ``_n``, its size; its fingerprint and a sketch of the first bits of it;
+    ``_few``, of a small set the shingles of which a similar set has at least one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            names, sizes = [], []
-            least = np.empty((b.num_rows, count), np.uint64)
-            for i, raw in enumerate(raw_texts(b, at)):
+            names, sizes, fps, few = [], [], [], []
+            for raw in raw_texts(b, at):
                 h = np.unique(shingle_hashes(raw, shingle))
                 names.append(xxhash.xxh3_128_digest(h.tobytes()))
                 sizes.append(len(h))
-                least[i] = minima(h, count)
-            sketch = np.packbits((mix64(least[:, :SKETCH]) & np.uint64(1)).astype(bool), axis=1).view(np.int64)
-            keys = np.arange(bands, dtype=np.uint64)[None, :] * np.ones((b.num_rows, 1), np.uint64)
-            for k in range(BAND):
-                keys = mix64(keys * np.uint64(0x9E3779B97F4A7C15) + least[:, k : bands * BAND : BAND])
-            some = np.array(sizes, np.int64) > 0
-            ends = np.concatenate([[0], np.cumsum(some * bands)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[some].ravel().view(np.int64)))
+                fps.append(fingerprint(h, WIDE // 64))
+                few.append(h[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1].view(np.int64) if len(h) <= FEW else [])
+            sketch = np.frombuffer(b"".join(fps), np.int64).reshape(b.num_rows, -1)
             yield batch(
                 **{c: b.column(i) for i, c in enumerate(keep)}, _set=pa.array(names, pa.binary()), _n=pa.array(sizes, pa.int64()),
-                _s0=sketch[:, 0].copy(), _s1=sketch[:, 1].copy(), _keys=lists,
+                _s0=sketch[:, 0].copy(), _s1=sketch[:, 1].copy(), _fp=pa.array(fps, pa.binary()), _few=pa.array(few, pa.list_(pa.int64())),
             )
 
     chosen, at = with_text(docs, keep, text)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[: len(keep)])
-    return arrow_map(chosen, run, f"{fields}, _set binary, _n bigint, _s0 bigint, _s1 bigint, _keys array<bigint>")
+    return arrow_map(chosen, run, f"{fields}, _set binary, _n bigint, _s0 bigint, _s1 bigint, _fp binary, _few array<bigint>")
+
+
+def dealt_keys(fps: DataFrame, similarity: float, tables: list[np.ndarray], first: int) -> DataFrame:
+    """``(fid, key, bits)``: a row per set and table, with bits of its sketch; small sets come by shingles."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            many = b.filter(pa.array(b.column(1).to_numpy() > FEW * similarity))
+            if many.num_rows:
+                raw = np.frombuffer(b"".join(many.column(3).to_pylist()), np.uint8).reshape(many.num_rows, -1)
+                keys = table_keys(raw, tables, first)
+                yield batch(
+                    fid=np.repeat(many.column(0).to_numpy(), len(tables)), key=keys.ravel().view(np.int64), bits=np.repeat(many.column(2).to_numpy(), len(tables))
+                )
+
+    dealt = arrow_map(fps.select("fid", "n", "s0", "fp"), run, "fid bigint, key bigint, bits bigint")
+    if first:
+        return dealt
+    return dealt.unionByName(fps.select("fid", F.explode("few").alias("key"), F.lit(0).cast("bigint").alias("bits")))
 
 
 def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
@@ -315,32 +354,54 @@ def truly_similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataF
     return sized.filter(F.col("shared") / (F.col("sizes") - F.col("shared")) >= similarity).select("a", "b")
 
 
-def link_similar(fps: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """``(a, b)`` of a graph on ``fid`` whose components are those of all pairs with an equal band key and, by their shingle sets, the similarity.
+def verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The truly similar of the pairs. Sets are made of texts in these pairs alone and go when the pairs are decided."""
+    spark = pairs.sparkSession
+    path = scratch_path(spark, "pairs")
+    with scratch_scope(spark):
+        ends = pairs.select(F.col("a").alias("fid")).unionByName(pairs.select(F.col("b").alias("fid")))
+        sets = store(shingle_sets(marked(texts, "fid", ends, "wanted").filter("wanted"), shingle))
+        truly_similar(pairs, sets, similarity).write.parquet(path)
+    return spark.read.schema("a bigint, b bigint").parquet(path)
+
+
+def link_similar(fps: DataFrame, texts: DataFrame, shingle: int, similarity: float, recall: float) -> DataFrame:
+    """``(a, b)`` of a graph on ``fid`` whose components are those of all pairs with an equal key in a table and, by their shingle sets, the similarity.
 
-    ``fps`` is (fid, n, s0, s1, keys), ``texts`` (fid, raw). Only pairs that may still join two components are verified:
+    ``fps`` is (fid, n, s0, s1, fp, few), ``texts`` (fid, raw). Tables are dealt in parts, and of each only what meets is
+    kept: few sets in a key must have two that are close in their sketch. Only pairs that may still join two components are verified:
     first of each key's texts with one of them, drawn anew each time, and last, where a key's texts are still of several
     components, of each text outside the largest with all of another component. Sizes and sketches rule out most of the
     pairs below the similarity beforehand; a pair at the limit has so many differing bits in its sketch, and four
     deviations more lose none in practice.
     """
-    p = (1 - similarity) / 2
-    most = math.floor(SKETCH * p + 4 * math.sqrt(SKETCH * p * (1 - p)))
-    dealt = fps.select("fid", F.explode("keys").alias("key"))
-    shared = dealt.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1").select("key")
-    meet = store(dealt.join(shared.hint("merge"), "key"))
-    sets = store(shingle_sets(marked(texts, "fid", meet.select("fid"), "wanted").filter("wanted"), shingle))
+    most, near = most_differing(similarity, SKETCH), most_differing(similarity, 64)
+    tables, meet = key_tables(similarity, recall, fps.count()), None
+    for at in range(0, len(tables), TABLES):
+        dealt = dealt_keys(fps, similarity, tables[at : at + TABLES], at)
+        apart = F.bit_count(F.bit_or("bits").bitwiseXOR(F.bit_and("bits")))
+        shared = dealt.groupBy("key").agg(F.count("*").alias("rows"), apart.alias("apart"))
+        shared = shared.filter((F.col("rows") > 2) | (F.col("rows") == 2) & (F.col("apart") <= near)).select("key", "rows")
+        part = store(dealt.join(shared.hint("merge"), "key"))
+        chance = part.filter(F.col("rows").between(3, CHANCE)).groupBy("key").agg(F.collect_list("bits").alias("all"))
+        chance = chance.filter(~F.exists("all", lambda x: F.size(F.filter("all", lambda y: F.bit_count(x.bitwiseXOR(y)) <= near)) > 1))
+        part = store(part.drop("bits").join(chance.select("key"), "key", "left_anti"))
+        meet = part if meet is None else meet.unionByName(part)
+        del dealt, shared, chance
+        free_shuffles(fps.sparkSession)
     points = fps.select("fid", "n", "s0", "s1")
 
     def labelled(edges: DataFrame | None) -> DataFrame:
         if edges is None:
             return meet.join(points.withColumn("c", F.col("fid")), "fid")
-        return meet.join(points.join(components(edges).withColumnRenamed("v", "fid"), "fid", "left").withColumn("c", F.coalesce("c", "fid")), "fid")
+        # Of two sets in a key the first round has seen the only pair.
+        return meet.filter("rows > 2").join(points.join(components(edges).withColumnRenamed("v", "fid"), "fid", "left").withColumn("c", F.coalesce("c", "fid")), "fid")
 
     def proposed(rows: DataFrame, other: str) -> DataFrame:
         bits = sum(F.bit_count(F.col(s).bitwiseXOR(F.col(f"{other}.{s}"))) for s in ("s0", "s1"))
         sizes = F.least("n", f"{other}.n") >= similarity * F.greatest("n", f"{other}.n")
-        rows = rows.filter((F.col("c") != F.col(f"{other}.c")) & sizes & (bits <= most))
+        close = (bits <= most) | (F.least("n", f"{other}.n") <= FEW)
+        rows = rows.filter((F.col("c") != F.col(f"{other}.c")) & sizes & close)
         return rows.select(F.least("fid", f"{other}.fid").alias("a"), F.greatest("fid", f"{other}.fid").alias("b")).distinct()
 
     point = F.struct("fid", "n", "s0", "s1", "c")
@@ -358,7 +419,7 @@ def link_similar(fps: DataFrame, texts: DataFrame, shingle: int, similarity: flo
             rows = store(rows.join(mixed.select("key", "top"), "key"))
             pairs = proposed(rows.join(rows.filter("c <> top").select("key", point.alias("o")), "key"), "o")
         pairs = store(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
-        found = store(truly_similar(pairs, sets, similarity))
+        found = verified(pairs, texts, shingle, similarity)
         tested = pairs if tested is None else tested.unionByName(pairs)
         edges = found if edges is None else edges.unionByName(found)
     return edges
@@ -410,16 +471,16 @@ def similar_groups(docs: DataFrame, keep: list[str], id_col: str = "doc_id", shi
     stays. Texts without words form one group.
     """
     more = [c for c in dict.fromkeys([id_col, text]) if c not in keep]
-    rows = with_signatures(docs, [*keep, *more], shingle, band_count(similarity, recall), text)
+    rows = with_signatures(docs, [*keep, *more], shingle, similarity, text)
     rows = store(rows.withColumn("_uid", F.monotonically_increasing_id()))
     best = F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), F.col("_uid"))).alias("best")
-    parts = [F.first(f"_{c}").alias(c) for c in ("n", "s0", "s1", "keys")]
+    parts = [F.first(f"_{c}").alias(c) for c in ("n", "s0", "s1", "fp", "few")]
     fps = store(rows.groupBy("_set").agg(best, *parts).withColumn("fid", F.col("best._uid")).drop("_set"))
     texts = rows.select(F.col("_uid").alias("fid"), text_bytes(text).alias("raw"))
-    linked = components(link_similar(fps, texts, shingle, similarity)).select(F.col("v").alias("fid"), "c")
+    linked = components(link_similar(fps, texts, shingle, similarity, recall)).select(F.col("v").alias("fid"), "c")
     firsts = fps.select("fid", "best").join(linked, "fid", "left").groupBy(F.coalesce("c", "fid").alias("c")).agg(F.min("best").alias("best"))
     stay = firsts.select(F.col("best._uid").alias("_uid"))
-    return marked(rows.drop("_set", "_n", "_s0", "_s1", "_keys", *[c for c in more if c != id_col]), "_uid", stay, "first")
+    return marked(rows.drop("_set", "_n", "_s0", "_s1", "_fp", "_few", *[c for c in more if c != id_col]), "_uid", stay, "first")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -142,3 +142,31 @@ def test_groups_of_chained_copies_match_brute_force(spark):
     df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
     stay = {r["doc_id"] for r in similar_groups(df, ["doc_id"], recall=0.9999).collect() if r["first"]}
     assert stay == {root(i) for i in range(len(texts))} and 1 < len(stay) < len(texts) - 10
+
+
+@pytest.mark.parametrize("shared, own", [(20, (2, 3)), (36, (4, 5)), (204, (25, 26)), (240, (0, 60))])
+def test_fingerprints_of_similar_sets_meet_in_tables(shared, own):
+    """Sets of a similarity of 0.8 differ in the bits that their angle tells, and meet with the recall asked for."""
+    rng = np.random.default_rng(1)
+    tables = simhash.key_tables(0.8, 0.99, 1 << 14)
+    met, bits, pairs = 0, 0, 400
+    for _ in range(pairs):
+        h = rng.integers(0, 1 << 63, shared + sum(own), dtype=np.uint64)
+        two = [simhash.fingerprint(x, simhash.WIDE // 64) for x in (h[: shared + own[0]], np.concatenate([h[:shared], h[shared + own[0] :]]))]
+        a, b = (np.frombuffer(x, np.uint8)[None, :] for x in two)
+        bits += int(np.bitwise_count(a ^ b).sum())
+        met += bool((simhash.table_keys(a, tables, 0) == simhash.table_keys(b, tables, 0)).any())
+    assert bits / pairs / simhash.WIDE <= simhash.differing(0.8) * 1.01 and met >= 0.975 * pairs
+
+
+def test_small_sets_meet_by_shingles(spark):
+    """All pairs of 5 to 26 shingles, where bits follow no angle, are found: those of 0.8 and more, none below."""
+    rows, want = [], set()
+    for n in range(4, 22):
+        words = [f"s{n}x{i}" for i in range(n + 4)]
+        for k in range(1, n // 4 + 2):  # k shingles more
+            rows += [(1000 * n + 10 * k, " ".join(f"{w}k{k}" for w in words)), (1000 * n + 10 * k + 1, " ".join(f"{w}k{k}" for w in [*words, *"abcdefgh"[:k]]))]
+            if n / (n + k) >= 0.8:
+                want.add(1000 * n + 10 * k + 1)
+    out = similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), ["doc_id"]).collect()
+    assert {r["doc_id"] for r in out if not r["first"]} == want
