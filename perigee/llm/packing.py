@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from perigee.llm.common import arrow_map, batch, n_buckets, store, table, text_bytes
+from perigee.llm.common import KEPT, arrow_map, batch, n_buckets, store, table, text_bytes
 
 CAPACITY = 4096
 END = 1
@@ -66,7 +66,7 @@ class WordTokens:
     tokens, straight from the merges, and the punctuation's; all other words go through the whole tokenizer.
     """
 
-    _shared: dict[str, WordTokens] = {}
+    _shared: dict[str, WordTokens] = KEPT.setdefault("packing", {})
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -139,7 +139,7 @@ def token_pieces(docs: DataFrame, keep: list[str], tokenizer: str, text: str = "
 
     chosen = docs.select(*[F.col(c) for c in keep], text_bytes(text).alias("__text"))
     fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1]), "piece int, start bigint, length bigint, ids_crc32 bigint"])
-    return arrow_map(chosen, run, fields)
+    return arrow_map(chosen, run, fields, keeps="packing")
 
 
 class Complements:

@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from perigee.llm.common import one_task
 from perigee.llm.packing import WordTokens, op4_complement_packing, pack, packing_plan, word_tokenizer
 
 
@@ -73,3 +74,11 @@ def test_odd_rows(odd, nothing):
     assert [r["length"] for r in empty] == [1, 1, 1]
     assert len([r for r in rows if r["doc_id"] == 5]) == 2 * len([r for r in rows if r["doc_id"] is None])
     assert pack(nothing, ["doc_id"], word_tokenizer()).collect() == []
+
+
+def test_tasks_of_other_operators_drop_the_word_cache():
+    WordTokens.of(word_tokenizer()).encode(b"some words")
+    list(one_task(iter, "packing", iter([])))
+    assert WordTokens._shared
+    list(one_task(iter, "", iter([])))
+    assert not WordTokens._shared
