@@ -21,6 +21,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -310,12 +311,12 @@ def with_signatures(docs: DataFrame, keep: list[str], shingle: int, similarity:
             sketch = np.frombuffer(b"".join(fps), np.int64).reshape(b.num_rows, -1)
             yield batch(
                 **{c: b.column(i) for i, c in enumerate(keep)}, _set=pa.array(names, pa.binary()), _n=pa.array(sizes, pa.int64()),
-                _s0=sketch[:, 0].copy(), _s1=sketch[:, 1].copy(), _fp=pa.array(fps, pa.binary()), _few=pa.array(few, pa.list_(pa.int64())),
+                _s0=sketch[:, 0].copy(), _s1=sketch[:, 1].copy(), _fp=pa.array(list(sketch), pa.list_(pa.int64())), _few=pa.array(few, pa.list_(pa.int64())),
             )
 
     chosen, at = with_text(docs, keep, text)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[: len(keep)])
-    return arrow_map(chosen, run, f"{fields}, _set binary, _n bigint, _s0 bigint, _s1 bigint, _fp binary, _few array<bigint>")
+    return arrow_map(chosen, run, f"{fields}, _set binary, _n bigint, _s0 bigint, _s1 bigint, _fp array<bigint>, _few array<bigint>")
 
 
 def dealt_keys(fps: DataFrame, similarity: float, tables: list[np.ndarray], first: int) -> DataFrame:
@@ -324,7 +325,7 @@ def dealt_keys(fps: DataFrame, similarity: float, tables: list[np.ndarray], firs
         for b in batches:
             many = b.filter(pa.array(b.column(1).to_numpy() > FEW * similarity))
             if many.num_rows:
-                raw = np.frombuffer(b"".join(many.column(3).to_pylist()), np.uint8).reshape(many.num_rows, -1)
+                raw = many.column(3).flatten().to_numpy().view(np.uint8).reshape(many.num_rows, -1)
                 keys = table_keys(raw, tables, first)
                 yield batch(
                     fid=np.repeat(many.column(0).to_numpy(), len(tables)), key=keys.ravel().view(np.int64), bits=np.repeat(many.column(2).to_numpy(), len(tables))
@@ -346,6 +347,13 @@ def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
     return arrow_map(texts.select("fid", "raw"), run, "fid bigint, words array<bigint>")
 
 
+def unshared(texts: DataFrame, shingle: int) -> DataFrame:
+    """``(fid, alone)``: how many of a text's distinct shingles are in no other of the texts; none are left out as zero."""
+    words = shingle_sets(texts, shingle).select("fid", F.explode("words").alias("word"))
+    once = words.groupBy("word").agg(F.count("*").alias("n"), F.min("fid").alias("fid")).filter("n = 1")
+    return once.groupBy("fid").agg(F.count("*").alias("alone"))
+
+
 def truly_similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs ``(a, b)`` whose sets of shingles have the similarity or more. Joined by shuffle at every size, as the sets grow with the data."""
     both = pairs.join(sets.select(F.col("fid").alias("b"), F.col("words").alias("y")).hint("merge"), "b")
@@ -373,9 +381,10 @@ def link_similar(fps: DataFrame, texts: DataFrame, shingle: int, similarity: flo
     first of each key's texts with one of them, drawn anew each time, and last, where a key's texts are still of several
     components, of each text outside the largest with all of another component. Sizes and sketches rule out most of the
     pairs below the similarity beforehand; a pair at the limit has so many differing bits in its sketch, and four
-    deviations more lose none in practice.
+    deviations more lose none in practice. Shingles that are in no other text that meets any can't be shared: a text with
+    too many of them is left out, however large the crowd it stands in, and others bound what a pair may share.
     """
-    most, near = most_differing(similarity, SKETCH), most_differing(similarity, 64)
+    near = most_differing(similarity, 64)
     tables, meet = key_tables(similarity, recall, fps.count()), None
     for at in range(0, len(tables), TABLES):
         dealt = dealt_keys(fps, similarity, tables[at : at + TABLES], at)
@@ -389,7 +398,9 @@ def link_similar(fps: DataFrame, texts: DataFrame, shingle: int, similarity: flo
         meet = part if meet is None else meet.unionByName(part)
         del dealt, shared, chance
         free_shuffles(fps.sparkSession)
-    points = fps.select("fid", "n", "s0", "s1")
+    alone = unshared(marked(texts, "fid", meet.select("fid"), "wanted").filter("wanted"), shingle)
+    points = fps.select("fid", "n", "s0", "s1").join(alone, "fid", "left").withColumn("m", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
+    points = store(points.filter(F.col("m") >= similarity * F.col("n") - 1e-6))
 
     def labelled(edges: DataFrame | None) -> DataFrame:
         if edges is None:
@@ -397,14 +408,15 @@ def link_similar(fps: DataFrame, texts: DataFrame, shingle: int, similarity: flo
         # Of two sets in a key the first round has seen the only pair.
         return meet.filter("rows > 2").join(points.join(components(edges).withColumnRenamed("v", "fid"), "fid", "left").withColumn("c", F.coalesce("c", "fid")), "fid")
 
-    def proposed(rows: DataFrame, other: str) -> DataFrame:
-        bits = sum(F.bit_count(F.col(s).bitwiseXOR(F.col(f"{other}.{s}"))) for s in ("s0", "s1"))
+    def proposed(rows: DataFrame, other: str, words: list[str], most: int) -> DataFrame:
+        bits = sum(F.bit_count(F.col(s).bitwiseXOR(F.col(f"{other}.{s}"))) for s in words)
         sizes = F.least("n", f"{other}.n") >= similarity * F.greatest("n", f"{other}.n")
         close = (bits <= most) | (F.least("n", f"{other}.n") <= FEW)
-        rows = rows.filter((F.col("c") != F.col(f"{other}.c")) & sizes & close)
+        enough = F.least("m", f"{other}.m") * (1 + similarity) >= similarity * (F.col("n") + F.col(f"{other}.n")) - 1e-6
+        rows = rows.filter((F.col("c") != F.col(f"{other}.c")) & sizes & close & enough)
         return rows.select(F.least("fid", f"{other}.fid").alias("a"), F.greatest("fid", f"{other}.fid").alias("b")).distinct()
 
-    point = F.struct("fid", "n", "s0", "s1", "c")
+    point = F.struct("fid", "n", "m", "s0", "s1", "c")
     edges, tested = None, None
     for turn in range(STARS + 1):
         rows = labelled(edges)
@@ -412,12 +424,18 @@ def link_similar(fps: DataFrame, texts: DataFrame, shingle: int, similarity: flo
             drawn = rows.groupBy("key").agg(
                 F.min_by(point, F.xxhash64("fid", F.lit(turn))).alias("o"), F.min("c").alias("low"), F.max("c").alias("high")
             ).filter("low < high").select("key", "o")
-            pairs = proposed(rows.join(drawn, "key"), "o")
+            pairs = proposed(rows.join(drawn, "key"), "o", ["s0", "s1"], most_differing(similarity, SKETCH))
         else:
             counts = rows.groupBy("key", "c").agg(F.count("*").alias("rows"))
             mixed = counts.groupBy("key").agg(F.max_by("c", F.struct("rows", "c")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
-            rows = store(rows.join(mixed.select("key", "top"), "key"))
-            pairs = proposed(rows.join(rows.filter("c <> top").select("key", point.alias("o")), "key"), "o")
+            # Here whole fingerprints are compared, as of a crowd's texts most pairs are just below the similarity.
+            whole = [f"f{i}" for i in range(WIDE // 64)]
+            wide = fps.select("fid", *[F.col("fp")[i].alias(f) for i, f in enumerate(whole)])
+            rows = store(rows.join(mixed.select("key", "top"), "key").join(wide, "fid"))
+            others = rows.filter("c <> top").select("key", F.struct("fid", "n", "m", "c", *whole).alias("o"))
+            # Of two texts outside the largest component each meets the other; one of the two pairs will do.
+            met = rows.join(others, "key").filter("c = top or fid < o.fid")
+            pairs = proposed(met, "o", whole, most_differing(similarity, WIDE))
         pairs = store(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         found = verified(pairs, texts, shingle, similarity)
         tested = pairs if tested is None else tested.unionByName(pairs)
@@ -463,24 +481,50 @@ def marked(rows: DataFrame, id_col: str, chosen: DataFrame, name: str) -> DataFr
     return joined.withColumn(name, F.expr(f"coalesce((shiftright({byte}, cast({at} % 8 as int)) & 1) = 1, false)")).drop("_bucket", "_bits")
 
 
+def numbered(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` and ``_uid``, a number of the row that stays the same when the frame is read again.
+
+    Rows read from Parquet files are numbered by file and place, so nothing is stored for it; one row a file passes the
+    driver. Frames of other rows, or with rows of a file repeated, are stored with their numbers.
+    """
+    spark, chosen = docs.sparkSession, [F.col(f"`{c}`") for c in columns]
+    try:
+        place = docs.metadataColumn("_metadata")
+        rows = docs.select(*chosen, place.getField("file_path").alias("_file"), place.getField("row_index").alias("_row"))
+    except AnalysisException:
+        return store(docs.select(*chosen).withColumn("_uid", F.monotonically_increasing_id()))
+    files = rows.groupBy("_file").agg((F.max("_row") + 1).alias("end"), F.count("*").alias("rows")).orderBy("_file").collect()
+    starts = accumulate((r["end"] for r in files), initial=0)
+    starts = spark.createDataFrame([(r["_file"], s) for r, s in zip(files, starts)], "_file string, _start bigint")
+    rows = rows.join(F.broadcast(starts), "_file").withColumn("_uid", F.col("_start") + F.col("_row"))
+    bits = rows.groupBy(F.bitmap_bucket_number(F.col("_uid") + 1).alias("bucket")).agg(F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("_uid") + 1))).alias("n"))
+    if (bits.agg(F.sum("n")).first()[0] or 0) < sum(r["rows"] for r in files):
+        return store(docs.select(*chosen).withColumn("_uid", F.monotonically_increasing_id()))
+    return rows.select(*chosen, "_uid")
+
+
 def similar_groups(docs: DataFrame, keep: list[str], id_col: str = "doc_id", shingle: int = 5, similarity: float = 0.8, recall: float = 0.99, text: str = "text") -> DataFrame:
     """``keep``, ``_uid`` and ``first``: whether a row stays as the one of its group of texts of the similarity or more.
 
     Texts are linked only if their sets of shingles, compared exactly, have the similarity; of pairs at exactly the
     similarity the share ``recall`` is found, of more similar ones more. Of equal identifiers or rows in a group one row
-    stays. Texts without words form one group.
+    stays. Texts without words form one group. Of what is stored on the way only the numbers of rows that stay are left.
     """
-    more = [c for c in dict.fromkeys([id_col, text]) if c not in keep]
-    rows = with_signatures(docs, [*keep, *more], shingle, similarity, text)
-    rows = store(rows.withColumn("_uid", F.monotonically_increasing_id()))
-    best = F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), F.col("_uid"))).alias("best")
-    parts = [F.first(f"_{c}").alias(c) for c in ("n", "s0", "s1", "fp", "few")]
-    fps = store(rows.groupBy("_set").agg(best, *parts).withColumn("fid", F.col("best._uid")).drop("_set"))
-    texts = rows.select(F.col("_uid").alias("fid"), text_bytes(text).alias("raw"))
-    linked = components(link_similar(fps, texts, shingle, similarity, recall)).select(F.col("v").alias("fid"), "c")
-    firsts = fps.select("fid", "best").join(linked, "fid", "left").groupBy(F.coalesce("c", "fid").alias("c")).agg(F.min("best").alias("best"))
-    stay = firsts.select(F.col("best._uid").alias("_uid"))
-    return marked(rows.drop("_set", "_n", "_s0", "_s1", "_fp", "_few", *[c for c in more if c != id_col]), "_uid", stay, "first")
+    spark = docs.sparkSession
+    rows = numbered(docs, [*keep, *(c for c in dict.fromkeys([id_col, text]) if c not in keep)])
+    path = scratch_path(spark, "stay")
+    with scratch_scope(spark):
+        signed = with_signatures(rows, ["_uid", id_col], shingle, similarity, text)
+        best = F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), F.col("_uid"))).alias("best")
+        parts = [F.first(f"_{c}").alias(c) for c in ("n", "s0", "s1", "fp", "few")]
+        fps = store(signed.groupBy("_set").agg(best, *parts).withColumn("fid", F.col("best._uid")).drop("_set"))
+        texts = rows.select(F.col("_uid").alias("fid"), text_bytes(text).alias("raw"))
+        linked = components(link_similar(fps, texts, shingle, similarity, recall)).select(F.col("v").alias("fid"), "c")
+        firsts = fps.select("fid", "best").join(linked, "fid", "left").groupBy(F.coalesce("c", "fid").alias("c")).agg(F.min("best").alias("best"))
+        firsts.select(F.col("best._uid").alias("_uid")).write.parquet(path)
+        del signed, fps, texts, linked, firsts
+    stay = spark.read.schema("_uid bigint").parquet(path)
+    return marked(rows.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, id_col])], "_uid"), "_uid", stay, "first")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

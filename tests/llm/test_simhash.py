@@ -1,9 +1,12 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
 import xxhash
 
 from perigee.llm import simhash
 from perigee.llm.simhash import block_masks, close_groups, link_close, op2_simhash, similar_groups
+from perigee.session import shared_dir
 
 
 def brute_fingerprint(text, size=3):
@@ -170,3 +173,41 @@ def test_small_sets_meet_by_shingles(spark):
                 want.add(1000 * n + 10 * k + 1)
     out = similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), ["doc_id"]).collect()
     assert {r["doc_id"] for r in out if not r["first"]} == want
+
+
+def test_texts_with_many_shingles_of_their_own_are_not_compared(spark, monkeypatch):
+    """A crowd around one text, each with more of its own than a similar text may have: no pair is looked at, nor one of the crowd lost that has a copy."""
+    rng = np.random.default_rng(4)
+    base, rows = [f"b{i}" for i in range(150)], []
+    for g in range(200):
+        words = list(base)
+        for at in range(int(rng.integers(0, 10)), 150, 20):
+            words[at] = f"own{g}x{at}"
+        rows.append((g, " ".join(words)))
+    rows.append((200, rows[7][1] + " more"))
+    compared, verified = [], simhash.verified
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(simhash, "verified", counted)
+    out = similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), ["doc_id"]).collect()
+    assert {r["doc_id"] for r in out if not r["first"]} == {200} and sum(compared) <= 5
+
+
+def test_texts_of_files_are_not_stored_again(spark, tmp_path):
+    """Rows are told by file and place, over many files and with repeated rows; what stays on disk are numbers."""
+    rows = [(i // 2, f"{' '.join(f'w{i // 2}x{k}' for k in range(60))}") for i in range(400)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    scratch = Path(shared_dir(spark)) / "perigee"
+    before = set(scratch.iterdir()) if scratch.exists() else set()
+    out = similar_groups(docs, ["doc_id", "text"]).collect()
+    left = [p for p in scratch.iterdir() if p not in before]
+    assert {c for p in left for c in spark.read.parquet(str(p)).columns} == {"_uid", "_bucket", "_bits"}
+    assert sorted((r["doc_id"], r["text"]) for r in out) == sorted(rows) and len({r["_uid"] for r in out}) == 400
+    assert sorted(r["doc_id"] for r in out if r["first"]) == list(range(200))
+    # Rows of a file twice can't be told by their places.
+    twice = similar_groups(docs.join(spark.range(2)), ["doc_id"]).collect()
+    assert len({r["_uid"] for r in twice}) == 800 and sum(r["first"] for r in twice) == 200
